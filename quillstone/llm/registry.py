@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from quillstone.llm.decontam import OP4_SQL, op4_benchmark_decontamination
 from quillstone.llm.packing import op3_best_fit_packing
 from quillstone.llm.simhash import op1_simhash_near_dedup
+from quillstone.llm.toxicity import op8_toxicity
 
 
 def queries() -> dict:
     return {
         "op1_simhash_near_dedup": op1_simhash_near_dedup,
         "op3_best_fit_packing": op3_best_fit_packing,
+        "op4_benchmark_decontamination": op4_benchmark_decontamination,
+        "op8_toxicity": op8_toxicity,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_benchmark_decontamination": OP4_SQL}
