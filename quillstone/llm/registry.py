@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from quillstone.llm.decontam import OP4_SQL, op4_benchmark_decontamination
+from quillstone.llm.htmltext import OP6_SQL, op6_html_extraction
+from quillstone.llm.media import op5_media_columns
 from quillstone.llm.packing import op3_best_fit_packing
 from quillstone.llm.simhash import op1_simhash_near_dedup
 from quillstone.llm.toxicity import op8_toxicity
@@ -13,9 +15,11 @@ def queries() -> dict:
         "op1_simhash_near_dedup": op1_simhash_near_dedup,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op4_benchmark_decontamination": op4_benchmark_decontamination,
+        "op5_media_columns": op5_media_columns,
+        "op6_html_extraction": op6_html_extraction,
         "op8_toxicity": op8_toxicity,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_benchmark_decontamination": OP4_SQL}
+    return {"op4_benchmark_decontamination": OP4_SQL, "op6_html_extraction": OP6_SQL}
