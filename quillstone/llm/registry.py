@@ -6,8 +6,10 @@ from quillstone.llm.decontam import OP4_SQL, op4_benchmark_decontamination
 from quillstone.llm.htmltext import OP6_SQL, op6_html_extraction
 from quillstone.llm.media import op5_media_columns
 from quillstone.llm.packing import op3_best_fit_packing
+from quillstone.llm.sharding import op10_sharding
 from quillstone.llm.simhash import op1_simhash_near_dedup
 from quillstone.llm.toxicity import op8_toxicity
+from quillstone.llm.warc import op9_warc
 
 
 def queries() -> dict:
@@ -18,6 +20,8 @@ def queries() -> dict:
         "op5_media_columns": op5_media_columns,
         "op6_html_extraction": op6_html_extraction,
         "op8_toxicity": op8_toxicity,
+        "op9_warc": op9_warc,
+        "op10_sharding": op10_sharding,
     }
 
 
