@@ -10,6 +10,7 @@ rounds end.
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -24,52 +25,99 @@ LENGTH = 2048
 PARTITION = 65_536
 ROUNDS = 5
 #: Token strings kept by a worker: at most so many, of at most so many characters.
-CACHE, CACHED_CHARS = 400_000, 48
+CACHE, CACHED_CHARS = 600_000, 48
+_wide = re.compile(r" (?:\s|\Z)")
+
+
+#: Fixed value: how a byte-level BPE cuts a text into pre-tokens.
+PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable Latin-1 for itself, the rest from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return {b: chr(b if b in plain else next(rest)) for b in range(256)}
 
 
 class Encoder:
     """Token ids of whole texts as little-endian unsigned 32-bit bytes.
 
     A space followed by a character that is not white space always starts a new
-    pre-token of this byte-level BPE, so a text may be cut there and the ids of the
-    parts joined; parts repeat and are cached. The ids come from ``tokenizers``.
+    pre-token of a byte-level BPE, so a text may be cut there and the ids of the parts
+    joined; parts and pre-tokens repeat and are cached. All ids come from ``tokenizers``;
+    a tokenizer of another kind encodes whole texts.
     """
 
     def __init__(self, path: str):
+        import json
+
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-
-    def raw(self, parts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        state = json.loads(self.tokenizer.to_str())
+        before = state.get("pre_tokenizer") or {}
+        self.by_parts = not state.get("normalizer") and before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
+        self.find, self.letters = regex.compile(PRE_TOKEN).findall, _byte_letters()
+        self.first: dict[str, bytes] = {}  # parts at the start of a text, or cut with care
+        self.after: dict[str, bytes] = {}  # parts after a space, without it
+        self.known: dict[str, bytes] = {}  # pre-tokens
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def part(self, text: str) -> bytes:
+        if len(text) > CACHED_CHARS or max(text, default="") >= "\u0250":
+            return self.whole([text])[0]
+        out = b""
+        for p in self.find(text):
+            ids = self.known.get(p)
+            if ids is None:
+                tokens = self.tokenizer.model.tokenize(p.encode().decode("latin-1").translate(self.letters))
+                ids = self.known[p] = b"".join(t.id.to_bytes(4, "little") for t in tokens)
+            out += ids
+        return out
 
     @staticmethod
     def parts(text: str) -> list[str]:
         first, *rest = text.split(" ")
         out = [first]
         for p in rest:
-            if p and not p[0].isspace() and not "\x1c" <= p[0] <= "\x1f":
+            if p and not p[0].isspace():
                 out.append(" " + p)
             else:
                 out[-1] += " " + p
         return out
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [self.parts(t) for t in texts]
-        if len(self.known) > CACHE:
-            self.known.clear()
-        new = set().union(*cut).difference(self.known)
-        once = {}
-        new = list(new)
-        for at in range(0, len(new), 4096):
-            for p, ids in zip(new[at : at + 4096], self.raw(new[at : at + 4096]), strict=True):
-                (self.known if len(p) <= CACHED_CHARS and len(self.known) < 2 * CACHE else once)[p] = ids
-        known = self.known
-        if once:
-            return [b"".join(known[p] if p in known else once[p] for p in parts) for parts in cut]
-        return [b"".join(map(known.__getitem__, parts)) for parts in cut]
+        if not self.by_parts:
+            return self.whole(texts)
+        out = []
+        if len(self.first) + len(self.after) > CACHE or len(self.known) > CACHE:
+            for cache in (self.first, self.after, self.known):
+                cache.clear()
+        for text in texts:
+            if _wide.search(text):
+                heads, tails = self.parts(text), []
+            else:
+                head, *tails = text.split(" ")
+                heads = [head]
+            long = []
+            for p in set(heads).difference(self.first):
+                self.first[p] = self.part(p)
+                if len(p) > CACHED_CHARS:
+                    long.append(p)
+            for p in set(tails).difference(self.after):
+                self.after[p] = self.part(" " + p)
+                if len(p) > CACHED_CHARS:
+                    long.append(p)
+            out.append(b"".join(map(self.first.__getitem__, heads)) + b"".join(map(self.after.__getitem__, tails)))
+            for p in long:
+                self.first.pop(p, None)
+                self.after.pop(p, None)
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
