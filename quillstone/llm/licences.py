@@ -46,7 +46,6 @@ TEMPLATES = {
 }
 #: One word of the normal form: letters and digits, with dots between digits.
 WORD = r"[0-9]+(?:\.[0-9]+)+|[\p{L}\p{N}]+"
-#: The longest line that is split into words, by the widest bound, is set by the templates.
 
 
 def bigrams_of(text: str) -> list[str]:
@@ -123,7 +122,7 @@ u AS (SELECT doc_id, unnest(range(1, len(parts) + 1)) AS line, unnest(parts) AS
 w AS (SELECT doc_id, line, regexp_extract_all(lower(unit), '[0-9]+(?:\.[0-9]+)+|[\p{{L}}\p{{N}}]+') AS w FROM u),
 b AS (SELECT row_number() OVER () AS unit, doc_id, line, CASE WHEN len(w) > 1 THEN list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) ELSE w END AS b FROM w WHERE len(w) > 0),
 e AS (SELECT unit, doc_id, line, len(b) AS size, unnest(b) AS bigram FROM b),
-s AS (SELECT unit, doc_id, line, size, licence, template_size, count(*) AS shared, 2 * count(*) / (size + template_size)::DOUBLE AS dice FROM e JOIN t USING (bigram) GROUP BY ALL),
+s AS (SELECT unit, doc_id, line, size, licence, template_size, count(*) AS shared, 2 * count(*) / (size + template_size)::DOUBLE AS dice FROM e JOIN t USING (bigram) GROUP BY unit, doc_id, line, size, licence, template_size),
 r AS (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY dice DESC, licence) AS rn FROM s WHERE dice >= {THRESHOLD})
 SELECT doc_id, line::INTEGER AS line, licence, shared, size::INTEGER AS size, template_size::INTEGER AS template_size, dice FROM r WHERE rn = 1
 """
