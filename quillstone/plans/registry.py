@@ -1,11 +1,202 @@
-"""Queries over the driver's tables and their DuckDB equivalents."""
+"""Queries over the driver's tables and their DuckDB equivalents, each over whole tables."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillstone.functions import jsonx as J
+from quillstone.operators import relational as R
+from quillstone.plans import marts as M
+from quillstone.sources import tables as S
+from quillstone.streaming import erasure as X
+from quillstone.streaming import ingest as I
+
+CUTOFF = "1995-06-17 00:00:00"
+
+
+def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return S.table(spark, d, name)
+
+
+def scd2_versions(spark, d):
+    e = R.scd2(S.events(spark, d), "id", "sequence", "recorded_at")
+    return e.select("id", "version_number", "event_type", "valid_from", "valid_to", "is_current")
+
+
+def scd2_single_current(spark, d):
+    return R.not_one_current(R.scd2(S.events(spark, d), "id", "sequence", "recorded_at"), "id")
+
+
+def latest_per_key(spark, d):
+    return R.latest_per_key(S.events(spark, d), ["id"], ["sequence"]).select("id", "sequence", "event_type", "recorded_at")
+
+
+def first_per_key(spark, d):
+    return R.first_per_key(S.events(spark, d), ["id", "event_type"], ["sequence"]).select("id", "event_type", "sequence", "recorded_at")
+
+
+def json_extract(spark, d):
+    e = S.events(spark, d)
+    return e.select("outbox_sequence", J.json_string("event", "k").alias("k_text"), J.json_decimal("event", "k").alias("k_decimal"), J.json_int("event", "k").alias("k_int"), J.json_string("event", "absent").alias("absent"), F.lower("event_type").alias("event_type"))
+
+
+def membership(spark, d):
+    """Changes of membership: the last of each pair wins, then only additions stay."""
+    e = S.events(spark, d).where(F.col("event_type").isin("signup", "error"))
+    change = e.select("id", S.padded("M", J.json_int("event", "k"), 10).alias("member_id"), F.when(F.col("event_type") == "signup", "added").when(F.col("event_type") == "error", "removed").alias("change"), "outbox_sequence", "recorded_at")
+    last = R.latest_per_key(change, ["id", "member_id"], ["outbox_sequence"]).where("change = 'added'")
+    return last.select(F.concat(F.lit("U"), F.substring("id", 2, 10)).alias("account_set_id"), "member_id", F.col("recorded_at").alias("member_since"))
+
+
+def sequence_gaps(spark, d):
+    """The stream without its errors has gaps; the whole stream has none."""
+    whole = R.sequence_gaps(S.events(spark, d)).withColumn("stream", F.lit("whole"))
+    holed = R.sequence_gaps(S.events(spark, d).where("event_type <> 'error'")).withColumn("stream", F.lit("without_errors"))
+    return whole.unionByName(holed).select("stream", "entity_id", "min_sequence", "max_sequence", "event_count")
+
+
+def balance_unpivot(spark, d):
+    return M.persisted_balances(spark, d)
+
+
+def as_of_version(spark, d):
+    p = R.as_of(M.projection(spark, d), ["journal_id", "account_id", "currency"], "version", "recorded_at", F.lit(CUTOFF).cast("timestamp_ntz"))
+    return p.select("journal_id", "account_id", "currency", "version", "settled_dr", "settled_cr", "pending_dr", "pending_cr")
+
+
+def unbalanced(spark, d):
+    """The control over entries whose discounted credits were seeded to differ."""
+    e = M.fct_entries(spark, d).withColumn("credit_units", F.when(F.col("entry_sequence") == 3, F.col("credit_units") + F.lit(1).cast("decimal(38,18)")).otherwise(F.col("credit_units")).cast("decimal(38,18)"))
+    return M.unequal(e, ["transaction_id", "currency"])
+
+
+def incremental_load(spark, d):
+    """Each id's events above its watermark, where the first half of the outbox is loaded already."""
+    e = S.events(spark, d)
+    half = e.agg((F.max("outbox_sequence") / 2).cast("bigint").alias("half"))
+    loaded = e.crossJoin(F.broadcast(half)).where("outbox_sequence <= half").drop("half")
+    return I.newer_than(e, I.watermarks(loaded)).select("id", "sequence", "event_type", "recorded_at")
+
+
+def outbox_gaps(spark, d):
+    """Ranges of holes in the outbox without its errors."""
+    return I.gaps(S.events(spark, d).where("event_type <> 'error'"), "outbox_sequence")
+
+
+def keyed_fetch(spark, d):
+    touched = S.events(spark, d).where("event_type = 'signup'").select("id").distinct()
+    return S.events(spark, d).join(touched, "id", "left_semi").select("id", "sequence", "event_type")
+
+
+def anti_filed(spark, d):
+    e = S.events(spark, d)
+    filed = e.where("event_type = 'signup'").select("id").distinct()
+    return R.first_per_key(e.where("event_type = 'error'").join(filed, "id", "left_anti"), ["id"], ["sequence"]).select("id", "sequence", "recorded_at")
+
+
+def erasure_redact(spark, d):
+    e = S.events(spark, d)
+    return X.redact_events(e, e.where("event_type = 'error'").select("id").distinct(), ["k"]).select("outbox_sequence", "id", "event", "value", "redacted")
+
+
+def erasure_survivors(spark, d):
+    """Personal values left in the stream of erased ids if nothing had been redacted."""
+    e = S.events(spark, d)
+    return X.survivors(e, e.where("event_type = 'error'").select("id").distinct(), ["k"])
+
+
+def erasure_summary(spark, d):
+    e = S.events(spark, d).where(F.col("event_type").isin("error", "signup"))
+    log = e.select(F.col("id").alias("erasure_id"), "recorded_at", "outbox_sequence", F.when(F.col("event_type") == "error", "operator").otherwise("reapply").alias("source"), J.json_int("event", "k").alias("rows_redacted"))
+    return X.summary(log)
+
+
+def except_equality(spark, d):
+    a = M.balances(M.fct_entries(spark, d)).select(*M.GRAIN, "dr_balance", "cr_balance")
+    return R.except_both_ways(a, M.persisted_balances(spark, d).select(*a.columns).where("layer = 'settled'"))
+
+
+def fk_orphans(spark, d):
+    return R.orphans(_t(spark, d, "lineitem"), "l_suppkey", _t(spark, d, "supplier").where("s_acctbal > 0"), "s_suppkey").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+
+
+def unique_combination(spark, d):
+    return R.not_unique(_t(spark, d, "lineitem"), "l_orderkey", "l_linenumber")
+
+
+def accepted_values(spark, d):
+    return R.not_accepted(_t(spark, d, "orders"), "o_orderstatus", ["F", "O"]).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+
+
+def non_negative(spark, d):
+    return R.negative(_t(spark, d, "customer"), "c_acctbal").select("c_custkey", S.money("c_acctbal").alias("c_acctbal"))
+
+
+def midpoint_quantile(spark, d):
+    return _t(spark, d, "events").groupBy("event_type").agg(F.percentile(F.unix_micros(F.col("ts").cast("timestamp")), 0.5).cast("bigint").alias("midpoint_us"))
+
+
+def top_balances(spark, d):
+    return _t(spark, d, "orders").select("o_orderkey", "o_custkey", S.money("o_totalprice").alias("total")).orderBy(F.desc("total"), "o_orderkey").limit(100)
+
+
+def status_counts(spark, d):
+    return M.leaf_reconcile(spark, d).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def reconcile_seeded(spark, d):
+    """The leaf control where the projection lacks a journal and the entries lack a currency, so that every status occurs."""
+    theirs = M.persisted_balances(spark, d).where("journal_id <> 'J0001'")
+    mine = M.balances(M.fct_entries(spark, d)).where("currency <> 'A'").withColumn("dr_balance", F.when(F.col("journal_id") == "J0002", F.col("dr_balance") + F.lit(1).cast("decimal(38,18)")).otherwise(F.col("dr_balance")).cast("decimal(38,18)"))
+    return R.reconcile(theirs, mine, M.GRAIN)
+
 
 def queries() -> dict:
-    return {}
+    return {
+        "trial_balance": M.trial_balance,
+        "fct_entries": M.fct_entries,
+        "account_balances": M.fct_account_balances,
+        "transactions_balanced": M.fct_transactions,
+        "debits_equal_credits": lambda s, d: M.unequal(M.fct_entries(s, d), ["transaction_id", "currency"]),
+        "debits_equal_credits_per_layer": lambda s, d: M.unequal(M.fct_entries(s, d), ["transaction_id", "currency", "layer"]),
+        "debits_equal_credits_seeded": unbalanced,
+        "sequence_gaps": sequence_gaps,
+        "scd2_versions": scd2_versions,
+        "scd2_single_current": scd2_single_current,
+        "latest_per_key": latest_per_key,
+        "first_per_key": first_per_key,
+        "json_extract": json_extract,
+        "membership_current": membership,
+        "closure": M.dim_account_set_members,
+        "set_dim": M.dim_account_sets,
+        "leaf_reconcile": M.leaf_reconcile,
+        "leaf_reconcile_seeded": reconcile_seeded,
+        "leaf_reconcile_status": status_counts,
+        "set_rollup_reconcile": M.set_reconcile,
+        "balance_unpivot": balance_unpivot,
+        "running_balance": M.running_chain,
+        "last_n_chain": lambda s, d: M.running_chain(s, d, 3),
+        "as_of_balance": lambda s, d: M.trial_balance(s, d, as_of=CUTOFF),
+        "as_of_version": as_of_version,
+        "incremental_load": incremental_load,
+        "outbox_watermark": outbox_gaps,
+        "keyed_fetch": keyed_fetch,
+        "anti_filed": anti_filed,
+        "erasure_redact": erasure_redact,
+        "erasure_survivors": erasure_survivors,
+        "erasure_summary": erasure_summary,
+        "except_equality": except_equality,
+        "fk_orphans": fk_orphans,
+        "unique_combination": unique_combination,
+        "accepted_values": accepted_values,
+        "non_negative": non_negative,
+        "midpoint_quantile": midpoint_quantile,
+        "top_balances": top_balances,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from quillstone.plans.oracle import SQL
+
+    return SQL
