@@ -105,8 +105,9 @@ def maximal(rows: DataFrame) -> DataFrame:
     lasts = stash(lasts, "lasts")
     finals = lasts.groupBy("pos", "prefix").agg(F.min("conv").alias("conv"), F.count(F.lit(1)).alias("equal"))
     inner = rows.select("pos", "prefix").groupBy("pos", "prefix").agg(F.count(F.lit(1)).alias("seen"))
-    # a hash is inside a longer conversation if more turns end with it than conversations
-    whole = inner.join(finals, ["pos", "prefix"]).where("seen = equal")
+    # more turns than whole conversations have this hash: some conversation goes on after it
+    longer = inner.join(finals.select("pos", "prefix", "equal"), ["pos", "prefix"]).where("seen > equal").select("pos", "prefix")
+    whole = finals.join(longer, ["pos", "prefix"], "left_anti")
     return whole.select("conv", F.col("pos").alias("turns"), (F.col("equal") - 1).alias("collapsed"))
 
 

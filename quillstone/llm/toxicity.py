@@ -128,7 +128,9 @@ def tokens(text: str | None) -> set[str]:
     low = (text or "").lower()
     out = {t.strip(_edges) or t for t in set(low.split())}
     if len(low) >= 5:
-        out.update(m[0] for m in _letters_apart.finditer(low) if len(m[0]) <= 2 * LONGEST)
+        for m in _letters_apart.finditer(low):
+            if len(m[0]) <= 2 * LONGEST:  # a word of one letter may stand next to the run
+                out.update((m[0], m[0][2:], m[0][:-2]))
     out.discard("")
     return out
 
