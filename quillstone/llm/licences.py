@@ -5,7 +5,8 @@ is short enough, as a whole. Lines become lower-case words of letters, digits an
 within numbers; a unit's bigrams are its distinct pairs of neighbouring words. By the
 bounds of the Dice coefficient, a unit of a bigrams can reach threshold t against a
 template of b only if t / (2 - t) <= a / b <= (2 - t) / t, so units without a template
-in bounds are left out before any bigram is made. The rest meet the templates in an
+in bounds are left out before any bigram is made, as are units without a word that every
+match of a template must have one of. The rest meet the templates in an
 equi-join on bigrams, and shared bigrams are counted by unit and template.
 
 Templates are a constant of this module, so their broadcast has a fixed size.
@@ -13,6 +14,7 @@ Templates are a constant of this module, so their broadcast has a fixed size.
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,6 +75,34 @@ def bounds(size: int, threshold: float) -> tuple[float, float]:
     return threshold / (2 - threshold) * size, (2 - threshold) / threshold * size
 
 
+def anchors(texts: dict[str, str], threshold: float) -> list[str]:
+    """Strings of which a unit holds one if it reaches the threshold against any template.
+
+    It then shares at least t / (2 - t) of the template's bigrams, so of any larger number
+    of bigrams than it may miss it has one; the words here, long ones first, are such that
+    more of each template's bigrams hold one of them.
+    """
+    out = set()
+    for text in texts.values():
+        grams = bigrams_of(text)
+        miss = len(grams) - math.ceil(round(threshold / (2 - threshold) * len(grams), 9))
+        words = sorted({w for b in grams for w in b.split(" ")}, key=lambda w: (-len(w), w))
+        covered: set[str] = set()
+        for w in words:
+            if len(covered) > miss:
+                break
+            out.add(w)
+            covered |= {b for b in grams if w in b.split(" ")}
+    return sorted(w for w in out if not any(v != w and v in w for v in out))
+
+
+def holds_any(text: Column, strings: list[str]) -> Column:
+    found = F.lit(False)
+    for x in strings:
+        found = found | F.contains(text, F.lit(x))
+    return found
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, line, licence, shared, size, template_size, dice) of each unit's best template at ``threshold`` or more.
 
@@ -84,17 +114,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts:
     spark = docs.sparkSession
     sizes = sorted({len(bigrams_of(t)) for t in texts.values()})
     low, high = bounds(sizes[0], threshold)[0], bounds(sizes[-1], threshold)[1]
-    first_words = sorted({w for t in texts.values() for b in bigrams_of(t) for w in b.split(" ")})
+    some = anchors(texts, threshold)
 
     held = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text is not null and text <> ''")
+    held = held.where(holds_any(F.lower("text"), some))
     lines = F.split("text", "\n")
-    # a unit within the widest bound has few words: spaces bound them from below
     units = held.select("doc_id", F.posexplode(F.when(F.size(lines) > 1, F.concat(F.array("text"), lines)).otherwise(F.concat(F.array(F.lit("")), lines))).alias("line", "unit"))
-    units = units.where("unit <> ''").withColumn("unit", F.lower("unit"))
-    known = F.array(*[F.lit(w) for w in first_words])
+    units = units.where("unit <> ''").withColumn("unit", F.lower("unit")).where(holds_any(F.col("unit"), some))
     units = units.withColumn("w", words(F.col("unit"))).where(F.size("w") > 0)
     units = units.where(F.size(F.array_distinct("w")) <= 2 * int(high) + 2)
-    units = units.where(F.arrays_overlap("w", known))
     units = units.select("doc_id", "line", bigrams(F.col("w")).alias("b")).withColumn("size", F.size("b")).where(F.col("size").between(low, high))
     near = F.lit(False)
     for n in sizes:
