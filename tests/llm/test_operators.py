@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from quillstone.llm import chat, common, decontam, htmltext, licences, media, packing, sharding, simhash, toxicity, warc
+from quillstone.llm import chat, common, decontam, htmltext, licences, media, neartext, packing, sharding, simhash, toxicity, warc
 
 SF = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string, lang string, fp long, id string, _part int"
@@ -100,6 +100,63 @@ def test_simhash_edges(spark):
 # --- 2 ------------------------------------------------------------------------
 
 
+def slow_texts(texts):
+    """The smallest index reachable over links of a Jaccard similarity of 0.8 or more, by all pairs that share a shingle."""
+    sets = [decontam.shingles_of(decontam.words_of(t)) for t in texts]
+    root, holders = list(range(len(sets))), defaultdict(list)
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    first_empty = next((i for i, s in enumerate(sets) if not s), None)
+    for i, own in enumerate(sets):
+        shared = defaultdict(int)
+        for s in own:
+            for j in holders[s]:
+                shared[j] += 1
+            holders[s].append(i)
+        near = [j for j, n in shared.items() if n >= 0.8 * (len(own) + len(sets[j]) - n) - 1e-9] if own else [first_empty]
+        for j in near:
+            a, b = find(i), find(j)
+            root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(sets))]
+
+
+def test_near_texts_equal_brute_force(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    texts = [None, "", " ", "two words", "Two  Words", "one"]
+    for _ in range(40):
+        base = [rng.choice(vocabulary) for _ in range(rng.choice([40, 120, 400]))]
+        texts.append(" ".join(base))
+        for _ in range(rng.choice([0, 1, 6])):
+            copy = list(base)
+            for _ in range(rng.randint(0, len(base) // 60)):
+                copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+            texts.append(" ".join(copy))
+    got = {r.id: r.component for r in neartext.near_texts(docs(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == slow_texts(texts)
+
+
+def test_near_texts_edges(spark):
+    assert neartext.near_texts(docs(spark, [])).collect() == []
+    got = neartext.near_texts(docs(spark, ["a b c", "a b c", None, "", "z"], [5, None, 7, 7, None])).collect()
+    assert sorted((r.id is None, r.id or 0, r.component or 0) for r in got) == [(False, 5, 5), (False, 7, 7), (False, 7, 7), (True, 0, 0), (True, 0, 5)]
+
+
+@pytest.mark.parametrize("width", [16, 24])
+def test_blocks_that_meet(width):
+    rng = np.random.default_rng(2)
+    block = rng.integers(0, 1 << width, 300)
+    block[150:] = block[:150] ^ (1 << rng.integers(0, width, 150))
+    visit = rng.integers(0, 2, 300).astype(np.int32)
+    pairs = {tuple(sorted((int(i), int(j)))) for a, b in neartext._meeting(block, visit, width) for i, j in zip(a, b)}
+    near = {(i, j) for i in range(300) for j in range(i) if not (visit[i] and visit[j]) and int(block[i] ^ block[j]).bit_count() <= 1}
+    assert pairs == {(j, i) for i, j in near}
+
+
 def chats(spark, rows):
     return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
 
@@ -380,7 +437,7 @@ def test_pipeline_stages(spark):
         before, after = {r.doc_id: r.text for r in d.collect()}, {r.doc_id for r in nxt.collect()}
         if name == "simhash_near_dedup":
             ids = sorted(before)
-            assert after == {ids[k] for k in slow_classes([simhash.fingerprint(before[i]) for i in ids])}
+            assert after == {ids[k] for k in slow_texts([before[i] for i in ids])}
         if name == "benchmark_decontamination":
             items = [decontam.shingles_of(decontam.words_of(r.text)) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
             leak = {i for i, t in before.items() for own in [decontam.shingles_of(decontam.words_of(t))] if any(s and len(s & own) >= 0.8 * len(s) for s in items)}
@@ -391,6 +448,8 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in d.collect()}
     nulls = docs(spark, [None, "", "a"], [None, 1, 1]).select("doc_id", "text", "lang")
     assert corpus_rows(P.drop_near_duplicates(spark, nulls, sf)) == [1]
+    nulls = docs(spark, ["x", "y", "x"], [None, None, 3]).selectExpr("doc_id", "text", "lang", "1 as _key")
+    assert sorted(r.text for r in P.drop_near_duplicates(spark, nulls, sf).collect()) == ["x", "y"]
 
 
 def corpus_rows(df):
