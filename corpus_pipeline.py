@@ -10,26 +10,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.llm import decontam, packing, simhash, toxicity
+from quillstone.llm import decontam, neartext, packing, toxicity
 from quillstone.llm.common import stash
 
 #: Scores from here on are rejected.
 TOXIC = 0.7
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of docs has it."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text scores below TOXIC, by a model fitted on the labels that may be learned from."""
     scorer = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.with_score(docs, scorer, out="_toxic_score")
-    return scored.where(F.col("_toxic_score") < TOXIC).select(*docs.columns)
+    score = unused(docs, "_toxic_score")
+    scored = toxicity.with_score(docs, scorer, out=score)
+    return scored.where(F.col(score) < TOXIC).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each class of near duplicates; of repeated rows, one."""
-    classes = simhash.near_duplicates(docs)
-    kept = classes.where((F.col("id") == F.col("component")) | F.col("id").isNull()).select("id").distinct()
-    held = docs.dropDuplicates(["doc_id"]) if docs.groupBy("doc_id").count().where("count > 1").limit(1).count() else docs
-    return held.join(kept, held.doc_id.eqNullSafe(kept.id), "left_semi")
+    """One document of each class of near duplicates: of smallest id, or any one where ids are null or repeat."""
+    key = "doc_id"
+    if docs.where("doc_id is null").limit(1).count() or docs.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        key = unused(docs, "_key")
+        docs = stash(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    kept = neartext.near_texts(docs, id_col=key).where("id = component").select("id")
+    return docs.join(kept, docs[key] == kept.id, "left_semi").select(*(c for c in docs.columns if c != key or key == "doc_id"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
