@@ -51,7 +51,7 @@ class Hasher:
         self.width, self.known = width, {}
 
     def __call__(self, words: list[bytes], width: int) -> np.ndarray:
-        if len(self.known) > 1_000_000:
+        if len(self.known) > 250_000:
             self.known.clear()
         known = self.known
         for w in set(words).difference(known):

@@ -35,7 +35,7 @@ LEVEL = 8
 #: Shares of differing bits: edges up to the first are taken first, and so on; up to the last a pair is verified.
 BANDS = (0.11, 0.15, 0.205)
 #: Pairs that are compared at a time.
-PAIRS = 1_000_000
+PAIRS = 1 << 17
 #: Rounds in which a component tries its closest edges before all the rest is verified.
 ROUNDS = 3
 
@@ -73,8 +73,8 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, lanes: int
         hasher = Hasher(width)
         for batch in batches:
             lo, hi, out = np.zeros(batch.num_rows, np.uint64), np.zeros(batch.num_rows, np.uint64), []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                words = words_of(text)
+            for i, text in enumerate(batch.column(1)):
+                words = words_of(text.as_py())
                 values = np.unique(hasher(words, min(width, len(words)))) if words else np.empty(0, np.uint64)
                 lo[i], hi[i] = np.bitwise_xor.reduce(values), values.sum(dtype=np.uint64)
                 out.append(sketch(values, lanes))
@@ -206,8 +206,8 @@ def verified(edges: DataFrame, texts: DataFrame, width: int, threshold: float) -
     def run(batches):
         for batch in batches:
             good = []
-            for one, two in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = shingles_of(words_of(one), width), shingles_of(words_of(two), width)
+            for one, two in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = shingles_of(words_of(one.as_py()), width), shingles_of(words_of(two.as_py()), width)
                 shared = len(x & y)
                 good.append(shared >= threshold * (len(x) + len(y) - shared) - 1e-9)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
