@@ -1,4 +1,4 @@
-"""What the operators share: the scratch folder, cut lineage, gapless numbering, components."""
+"""What the operators share: the scratch folder, cut lineage, gapless numbering, bounded groups, components."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -68,6 +69,30 @@ def gapless(df: DataFrame, keys: list[str], order: list[str], out: str, name: st
     )
 
 
+def in_cells(rows: DataFrame, sizes: DataFrame, key: str, spread: str, limit: int) -> DataFrame:
+    """``rows`` with a column ``cell``, such that any two rows of a key share a cell and none has more than about ``limit`` rows.
+
+    ``sizes`` has (``key``, n). A key of at most ``limit`` rows is one cell. The rows of a
+    larger one are dealt by the hash of ``spread`` into parts of half the limit, and each
+    two parts are a cell, so a row goes to as many cells as there are other parts. The
+    table of larger keys is broadcast: rows / limit of 16 bytes at most.
+    """
+    large = stash(sizes.where(F.col("n") > limit).select(key, F.ceil(F.col("n") * 2 / limit).cast("int").alias("_parts")), "large")
+    if large.isEmpty():
+        return rows.withColumn("cell", F.lit(0).cast("long"))
+    own = F.pmod(F.xxhash64(spread), F.col("_parts")).cast("int")
+    others = F.filter(F.sequence(F.lit(0), F.col("_parts") - 1), lambda j: j != F.col("_own"))
+    pairs = F.transform(others, lambda j: F.least(j, F.col("_own")) * F.col("_parts").cast("long") + F.greatest(j, F.col("_own")))
+    held = rows.join(F.broadcast(large), key, "left").withColumn("_own", own)
+    return held.withColumn("cell", F.explode(F.when(F.col("_parts").isNull(), F.array(F.lit(0).cast("long"))).otherwise(pairs))).drop("_parts", "_own")
+
+
+def last_group(key: np.ndarray, cell: np.ndarray) -> int:
+    """Where the last group of equal (key, cell) begins, in sorted rows."""
+    start = int(np.searchsorted(key, key[-1], "left"))
+    return start + int(np.searchsorted(cell[start:], cell[-1], "left"))
+
+
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """Connected components by alternating large-star and small-star rounds.
 

@@ -25,13 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import components, discard, stash
+from quillstone.llm.common import components, discard, in_cells, last_group, stash
 from quillstone.llm.decontam import THRESHOLD, WORDS, Hasher, shingles_of, words_of
 
-#: Trees and bits of a block, by the number of distinct texts.
-SHAPES = ((4_000_000, 16, 16), (None, 32, 24))
-#: Bits of a level of a tree.
-LEVEL = 8
+#: Trees, bits of a block and bits of a level of a tree, by the number of distinct texts.
+SHAPES = ((2_000_000, 16, 16, 8), (16_000_000, 16, 16, 2), (None, 32, 24, 1))
+#: Rows of a shard that a task holds, about; a larger shard is searched in cells.
+CELL = 1 << 19
 #: Shares of differing bits: edges up to the first are taken first, and so on; up to the last a pair is verified.
 BANDS = (0.11, 0.15, 0.205)
 #: Pairs that are compared at a time.
@@ -60,9 +60,9 @@ def sketch(values: np.ndarray, lanes: int) -> bytes:
     return out.tobytes()
 
 
-def shape(texts: int) -> tuple[int, int]:
-    """(trees, bits of a block) for a number of texts."""
-    return next((trees, bits) for limit, trees, bits in SHAPES if limit is None or texts < limit)
+def shape(texts: int) -> tuple[int, int, int]:
+    """(trees, bits of a block, bits of a level) for a number of texts."""
+    return next(rest for limit, *rest in SHAPES if limit is None or texts < limit)
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, lanes: int) -> DataFrame:
@@ -93,29 +93,49 @@ def _block(bits: np.ndarray, tree: int, width: int) -> np.ndarray:
     return bits[:, tree * width // 8 : (tree + 1) * width // 8].astype(np.int64) @ (256 ** np.arange(width // 8, dtype=np.int64))
 
 
-def placed(nodes: DataFrame, trees: int, width: int) -> DataFrame:
-    """(shard, visit, rep, sketch): each sketch at home in every tree and where its block's ball overlaps other shards."""
-    size, levels = trees * width // 8, width // LEVEL
+def _places(bits: np.ndarray, trees: int, width: int, level: int):
+    """(shard, visit, positions): at home in every tree, and where a block's ball overlaps other shards."""
+    levels = width // level
+    for tree in range(trees):
+        block = _block(bits, tree, width)
+        mark = np.int64((tree + 1) * 0x9E3779B1 & (1 << width) - 1)
+        far = [np.bitwise_count((block ^ mark) >> (level * k) & ((1 << level) - 1)).astype(np.int64) for k in range(levels)]
+        home = sum((d * (level + 1) ** k for k, d in enumerate(far)), np.full(len(block), tree << 32, np.int64))
+        yield home, 0, np.arange(len(block))
+        for k in range(levels):
+            at = np.flatnonzero(far[k] < level)
+            yield home[at] + (level + 1) ** k, 1, at
+
+
+def placed(nodes: DataFrame, trees: int, width: int, level: int) -> DataFrame:
+    """(shard, visit, rep, sketch) for each sketch and shard that it lives in or visits."""
+    size = trees * width // 8
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            bits, rep, held = _rows(batch.column(1), size), batch.column(0), batch.column(1)
-            for tree in range(trees):
-                block = _block(bits, tree, width)
-                mark = np.int64((tree + 1) * 0x9E3779B1 & (1 << width) - 1)
-                far = [np.bitwise_count((block ^ mark) >> (LEVEL * k) & ((1 << LEVEL) - 1)).astype(np.int64) for k in range(levels)]
-                home = sum((d * (LEVEL + 1) ** k for k, d in enumerate(far)), np.full(len(block), tree << 32, np.int64))
-                for k in range(-1, levels):
-                    at = np.arange(len(block)) if k < 0 else np.flatnonzero(far[k] < LEVEL)
-                    shard = home[at] + (0 if k < 0 else (LEVEL + 1) ** k)
-                    take = pa.array(at)
-                    yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(np.full(len(at), int(k >= 0), np.int32)), rep.take(take), held.take(take)], names=["shard", "visit", "rep", "sketch"])
+            rep, held = batch.column(0), batch.column(1)
+            for shard, visit, at in _places(_rows(held, size), trees, width, level):
+                take = pa.array(at)
+                yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(np.full(len(at), visit, np.int32)), rep.take(take), held.take(take)], names=["shard", "visit", "rep", "sketch"])
 
     return nodes.select("rep", "sketch").mapInArrow(run, "shard long, visit int, rep long, sketch binary")
 
 
+def shard_sizes(nodes: DataFrame, trees: int, width: int, level: int) -> DataFrame:
+    """(shard, n): the rows that ``placed`` puts into each shard, counted batch by batch before the shuffle."""
+    size = trees * width // 8
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                shard, n = np.unique(np.concatenate([x for x, _, _ in _places(_rows(batch.column(0), size), trees, width, level)]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(n.astype(np.int64))], names=["shard", "n"])
+
+    return nodes.select("sketch").mapInArrow(run, "shard long, n long").groupBy("shard").agg(F.sum("n").alias("n"))
+
+
 def _meeting(block: np.ndarray, visit: np.ndarray, width: int):
     """Positions (i, j), a bounded number at a time, of the shard's pairs whose blocks are within one bit."""
     order = np.argsort(block, kind="stable")
@@ -165,15 +185,19 @@ def _forest(block: np.ndarray, visit: np.ndarray, bits: np.ndarray, width: int):
     return [np.concatenate(x) for x in zip(*found, strict=True)] if found else None
 
 
-def candidates(nodes: DataFrame, trees: int, width: int) -> DataFrame:
-    """(a, b, h): distinct edges of the shards' forests, with the number of differing bits."""
+def candidates(nodes: DataFrame, trees: int, width: int, level: int, limit: int = CELL) -> DataFrame:
+    """(a, b, h): distinct edges of the shards' forests, with the number of differing bits.
+
+    Shards of more than ``limit`` rows give the forests of their cells, which together
+    hold a forest of the shard.
+    """
     size = trees * width // 8
 
     def run(batches):
         rest = None
 
-        def search(shard, visit, rep, held):
-            cuts = np.flatnonzero(np.diff(shard)) + 1
+        def search(shard, cell, visit, rep, held):
+            cuts = np.flatnonzero((np.diff(shard) != 0) | (np.diff(cell) != 0)) + 1
             for s, e in zip(np.r_[0, cuts], np.r_[cuts, len(shard)], strict=True):
                 if e - s < 2 or visit[s:e].all():
                     continue
@@ -185,17 +209,18 @@ def candidates(nodes: DataFrame, trees: int, width: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)] + [_rows(batch.column(3), size)]
+            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)] + [_rows(batch.column(4), size)]
             if rest is not None:
                 cols = [np.concatenate(x) for x in zip(rest, cols, strict=True)]
-            last = int(np.searchsorted(cols[0], cols[0][-1], "left"))
+            last = last_group(cols[0], cols[1])
             if last:
                 yield from search(*(x[:last] for x in cols))
             rest = [x[last:] for x in cols]
         if rest is not None:
             yield from search(*rest)
 
-    rows = placed(nodes, trees, width).repartition("shard").sortWithinPartitions("shard")
+    rows = in_cells(placed(nodes, trees, width, level), shard_sizes(nodes, trees, width, level), "shard", "rep", limit)
+    rows = rows.select("shard", "cell", "visit", "rep", "sketch").repartition("shard", "cell").sortWithinPartitions("shard", "cell")
     found = rows.mapInArrow(run, "a long, b long, h int")
     return found.where("a != b").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("h").alias("h"))
 
@@ -217,7 +242,7 @@ def verified(edges: DataFrame, texts: DataFrame, width: int, threshold: float) -
     return edges.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "one", "two").mapInArrow(run, "a long, b long").distinct()
 
 
-def near_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
+def near_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WORDS, threshold: float = THRESHOLD, limit: int = CELL) -> DataFrame:
     """(id, component): each row's class under links of a Jaccard similarity of at least ``threshold``.
 
     Texts without words, null or empty, are one class; of fewer than ``width`` words all
@@ -226,10 +251,10 @@ def near_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows stay. An empty table gives no rows. ``id_col`` must be integer; other columns,
     whatever their names, are not read.
     """
-    trees, bits = shape(docs.count())
+    trees, bits, level = shape(docs.count())
     marks = stash(sketches(docs, id_col, text_col, width, trees * bits // 64), "sketches")
     nodes = stash(marks.groupBy("lo", "hi").agg(F.min("id").cast("long").alias("rep"), F.first("sketch").alias("sketch")), "texts")
-    edges = stash(candidates(nodes.where("rep is not null and (lo != 0 or hi != 0)"), trees, bits).select("a", "b", "h", F.col("a").alias("ca"), F.col("b").alias("cb")), "candidates")
+    edges = stash(candidates(nodes.where("rep is not null and (lo != 0 or hi != 0)"), trees, bits, level, limit).select("a", "b", "h", F.col("a").alias("ca"), F.col("b").alias("cb")), "candidates")
     ends = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     held = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     texts = stash(held.join(ends, "id", "left_semi").dropDuplicates(["id", "text"]), "ends")

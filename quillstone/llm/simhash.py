@@ -28,12 +28,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import components, stash
+from quillstone.llm.common import components, in_cells, last_group, stash
 
 #: Vantage points of the two halves; any 32-bit values give the same result.
 VANTAGE = (0x9E3779B9, 0x7F4A7C15)
 #: Rows and columns of fingerprints that are compared at a time.
 TILE = (512, 8192)
+#: Rows of a shard that a task holds, about; a larger shard is searched in cells.
+CELL = 1 << 18
 
 
 def fingerprint(text: str | None, width: int = 3, seed: int = 42) -> int:
@@ -124,15 +126,18 @@ def _forest(fp: np.ndarray, visit: np.ndarray, half: int, radius: int) -> np.nda
     return out
 
 
-def links(nodes: DataFrame, radius: int = 3, bits: int | None = None) -> DataFrame:
-    """(a, b): links between representatives that keep the same connected components as all pairs within ``radius``."""
+def links(nodes: DataFrame, radius: int = 3, bits: int | None = None, limit: int = CELL) -> DataFrame:
+    """(a, b): links between representatives that keep the same connected components as all pairs within ``radius``.
+
+    Shards of more than ``limit`` rows are searched in cells that hold every two of their rows.
+    """
     bits = bits or block_bits(nodes.count())
 
     def run(batches):
         rest = None
 
-        def search(shard, visit, fp, rep):
-            cuts = np.flatnonzero(np.diff(shard)) + 1
+        def search(shard, cell, visit, fp, rep):
+            cuts = np.flatnonzero((np.diff(shard) != 0) | (np.diff(cell) != 0)) + 1
             starts, ends = np.r_[0, cuts], np.r_[cuts, len(shard)]
             homes = np.add.reduceat((visit == 0).astype(np.int64), starts)
             a, b = [], []
@@ -147,21 +152,23 @@ def links(nodes: DataFrame, radius: int = 3, bits: int | None = None) -> DataFra
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
             if rest is not None:
                 cols = [np.concatenate([x, y]) for x, y in zip(rest, cols, strict=True)]
-            last = int(np.searchsorted(cols[0], cols[0][-1], "left"))
+            last = last_group(cols[0], cols[1])
             if last:
                 yield from search(*(x[:last] for x in cols))
             rest = [x[last:] for x in cols]
         if rest is not None:
             yield from search(*rest)
 
-    placed = shards(nodes, radius, bits).repartition("shard").sortWithinPartitions("shard")
+    placed = shards(nodes, radius, bits)
+    placed = in_cells(placed, placed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")), "shard", "rep", limit)
+    placed = placed.select("shard", "cell", "visit", "fp", "rep").repartition("shard", "cell").sortWithinPartitions("shard", "cell")
     return placed.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 3, seed: int = 42, bits: int | None = None) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 3, seed: int = 42, bits: int | None = None, limit: int = CELL) -> DataFrame:
     """(id, fp, component): each row's class under links of at most ``radius`` bits.
 
     Null and wordless texts have fingerprint 0 and link like any other. A null id gets
@@ -171,7 +178,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     marks = stash(fingerprints(docs, id_col, text_col, width, seed), "fingerprints")
     nodes = stash(marks.groupBy("fp").agg(F.min("id").cast("long").alias("rep")), "nodes")
-    found = stash(links(nodes.where("rep is not null"), radius, bits), "links")
+    found = stash(links(nodes.where("rep is not null"), radius, bits, limit), "links")
     classes = components(found, "a", "b")
     by_fp = nodes.join(classes, nodes.rep == classes.node, "left").select("fp", F.coalesce("component", "rep").alias("component"))
     return marks.join(by_fp, "fp").select("id", "fp", "component")

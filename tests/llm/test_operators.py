@@ -90,6 +90,32 @@ def test_search_of_any_width_finds_all(spark, bits):
     assert [found.get(i, i) for i in range(len(fps))] == slow_classes(fps)
 
 
+@pytest.mark.parametrize("limit", [10, 100, 10_000])
+def test_cells_of_crowded_shards_find_all(spark, limit):
+    """A third of the fingerprints lie within a few bits of one, so that they crowd a few shards."""
+    rng = random.Random(limit)
+    fps, middle = {rng.getrandbits(64) for _ in range(200)}, rng.getrandbits(64)
+    while len(fps) < 300:
+        fps.add(middle ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 6))))
+    fps = sorted(fps)
+    nodes = spark.createDataFrame([(f - 2**64 if f >> 63 else f, i) for i, f in enumerate(fps)], "fp long, rep long")
+    found = {r.node: r.component for r in common.components(simhash.links(nodes, 3, 8, limit), "a", "b").collect()}
+    assert [found.get(i, i) for i in range(len(fps))] == slow_classes(fps)
+
+
+def test_cells_hold_every_two_rows(spark):
+    keys = [0] * 90 + [1] * 9 + [2] * 40
+    rows = spark.createDataFrame(list(enumerate(keys)), "rep long, shard long")
+    sizes = rows.groupBy("shard").count().withColumnRenamed("count", "n")
+    held = defaultdict(set)
+    for r in common.in_cells(rows, sizes, "shard", "rep", 20).collect():
+        held[r.shard, r.cell].add(r.rep)
+    assert len([1 for key, _ in held if key == 1]) == 1
+    assert max(map(len, held.values())) <= 40
+    together = {(a, b) for own in held.values() for a in own for b in own}
+    assert together == {(a, b) for a, x in enumerate(keys) for b, y in enumerate(keys) if x == y}
+
+
 def test_simhash_edges(spark):
     none = simhash.near_duplicates(docs(spark, [])).collect()
     assert none == []
@@ -124,7 +150,8 @@ def slow_texts(texts):
     return [find(i) for i in range(len(sets))]
 
 
-def test_near_texts_equal_brute_force(spark):
+@pytest.mark.parametrize("limit", [neartext.CELL, 30])
+def test_near_texts_equal_brute_force(spark, limit):
     rng = random.Random(5)
     vocabulary = [f"w{i}" for i in range(3000)]
     texts = [None, "", " ", "two words", "Two  Words", "one"]
@@ -136,10 +163,25 @@ def test_near_texts_equal_brute_force(spark):
             for _ in range(rng.randint(0, len(base) // 60)):
                 copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
             texts.append(" ".join(copy))
-    got = {r.id: r.component for r in neartext.near_texts(docs(spark, texts)).collect()}
+    got = {r.id: r.component for r in neartext.near_texts(docs(spark, texts), limit=limit).collect()}
     assert [got[i] for i in range(len(texts))] == slow_texts(texts)
 
 
+@pytest.mark.parametrize(("trees", "width", "level"), [(16, 16, 8), (16, 16, 2), (32, 24, 1)])
+def test_each_shape_finds_the_pairs_that_meet(spark, trees, width, level):
+    """Sketches within the first band link if a block of theirs is within one bit, whatever the levels."""
+    rng = np.random.default_rng(level)
+    base = rng.integers(0, 256, (40, trees * width // 8), np.uint8)
+    near = base.copy()
+    near[:, 0] ^= 1
+    near[:, -1] ^= 0x80
+    nodes = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(np.concatenate([base, near]))], "rep long, sketch binary")
+    got = {(r.a, r.b): r.h for r in neartext.candidates(nodes, trees, width, level).collect()}
+    assert got == {(i, i + 40): 2 for i in range(40)}
+    sizes = {r.shard: r.n for r in neartext.shard_sizes(nodes, trees, width, level).collect()}
+    assert sizes == {r["shard"]: r["count"] for r in neartext.placed(nodes, trees, width, level).groupBy("shard").count().collect()}
+
+
 def test_near_texts_edges(spark):
     assert neartext.near_texts(docs(spark, [])).collect() == []
     got = neartext.near_texts(docs(spark, ["a b c", "a b c", None, "", "z"], [5, None, 7, 7, None])).collect()
