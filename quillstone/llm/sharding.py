@@ -87,9 +87,13 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shar
     now = stash(now.drop("_order"), "dealt")
     total = now.count()
     block = max(2, int(total / shards * BLOCK_SHARE))
-    groups = now.groupBy("digest", "none").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    groups = groups.withColumn("blocks", F.ceil(F.col("members") / block).cast("int"))
-    linked = now.join(groups, ["digest", "none"]).withColumn("block", F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("_n"), F.col("blocks")).cast("int")).otherwise(0))
+    keys = ["digest", "none"]
+    groups = now.groupBy(*keys).agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    groups = stash(groups.withColumn("blocks", F.ceil(F.col("members") / block).cast("int")), "groups")
+    # groups of several blocks have more rows than a block each, so they are fewer than shards / BLOCK_SHARE
+    large = F.broadcast(groups.where("blocks > 1"))
+    linked = now.join(large, keys).unionByName(now.join(large, keys, "left_anti").join(groups.where("blocks = 1"), keys))
+    linked = linked.withColumn("block", F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("_n"), F.col("blocks")).cast("int")).otherwise(0))
     linked = stash(linked.select("_n", "shard", F.xxhash64("digest", "none", "block").alias("block"), F.when(F.col("blocks") > 1, F.col("members") / F.col("blocks")).otherwise(F.col("members")).cast("long").alias("members")), "linked")
     loose = stash(now.select("_n", "shard").join(linked.select("_n"), "_n", "left_anti"), "loose")
 
