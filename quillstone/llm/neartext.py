@@ -14,6 +14,13 @@ Pairs that meet and whose sketches agree roughly become a forest of the shard, c
 pairs first, so a group of copies gives as many edges as it has texts and not all its
 pairs. Each component then tries its closest edges and exact shingles decide; what is
 left between different components is all verified in the end.
+
+The trees may miss a pair and a forest may hold edges that fail, so they only make the
+classes that are cheap to find. A prefix filter then completes them: shingles have a
+fixed order, common ones last, and two texts at the threshold share one of the first
+n - ceil(threshold n) + 1 of their n shingles. All pairs of texts of different classes
+that do, and whose shared shingles and those behind them can add up to the threshold,
+are verified. The result is that of all pairs, whatever the trees, sketches and bands.
 """
 
 from __future__ import annotations
@@ -26,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillstone.llm.common import components, discard, in_cells, last_group, stash
-from quillstone.llm.decontam import THRESHOLD, WORDS, Hasher, shingles_of, words_of
+from quillstone.llm.decontam import THRESHOLD, WORDS, Hasher, shingles_of, signature_size, words_of
 
 #: Trees, bits of a block and bits of a level of a tree, by the number of distinct texts.
 SHAPES = ((2_000_000, 16, 16, 8), (16_000_000, 16, 16, 2), (None, 32, 24, 1))
@@ -38,6 +45,8 @@ BANDS = (0.11, 0.15, 0.205)
 PAIRS = 1 << 17
 #: Rounds in which a component tries its closest edges before all the rest is verified.
 ROUNDS = 3
+#: Counters of shingles in a task; those over HEAVY times the mean and LEAST are sent, so at most COUNTERS / HEAVY of a task.
+COUNTERS, HEAVY, LEAST = 1 << 20, 8, 16
 
 
 def sketch(values: np.ndarray, lanes: int) -> bytes:
@@ -242,23 +251,117 @@ def verified(edges: DataFrame, texts: DataFrame, width: int, threshold: float) -
     return edges.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "one", "two").mapInArrow(run, "a long, b long").distinct()
 
 
-def near_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WORDS, threshold: float = THRESHOLD, limit: int = CELL) -> DataFrame:
-    """(id, component): each row's class under links of a Jaccard similarity of at least ``threshold``.
+def common_shingles(docs: DataFrame, width: int) -> np.ndarray:
+    """A count for each of COUNTERS groups of shingle values, 0 unless a task has the group often. It only orders shingles."""
 
-    Texts without words, null or empty, are one class; of fewer than ``width`` words all
-    are one shingle. Rows with the same shingles are one class whatever their number.
-    A null id gets its class's component, null if no row of the class has an id. Repeated
-    rows stay. An empty table gives no rows. ``id_col`` must be integer; other columns,
-    whatever their names, are not read.
-    """
-    trees, bits, level = shape(docs.count())
-    marks = stash(sketches(docs, id_col, text_col, width, trees * bits // 64), "sketches")
-    nodes = stash(marks.groupBy("lo", "hi").agg(F.min("id").cast("long").alias("rep"), F.first("sketch").alias("sketch")), "texts")
-    edges = stash(candidates(nodes.where("rep is not null and (lo != 0 or hi != 0)"), trees, bits, level, limit).select("a", "b", "h", F.col("a").alias("ca"), F.col("b").alias("cb")), "candidates")
+    def run(batches):
+        hasher, total = Hasher(width), np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for text in batch.column(1):
+                words = words_of(text.as_py())
+                if words:
+                    np.add.at(total, (np.unique(hasher(words, min(width, len(words)))) % np.uint64(COUNTERS)).astype(np.int64), 1)
+        often = np.flatnonzero(total > max(LEAST, HEAVY * total.mean()))
+        yield pa.RecordBatch.from_arrays([pa.array(often), pa.array(total[often])], names=["at", "n"])
+
+    rows = docs.select("id", "text").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    count_of = np.zeros(COUNTERS, np.int64)
+    count_of[rows["at"].to_numpy()] = rows["n"].to_numpy()
+    return count_of
+
+
+def prefixes(texts: DataFrame, width: int, threshold: float) -> DataFrame:
+    """(shingle, id, n, place): the first shingles of each text (id, text), rare ones first, of which a near duplicate holds one."""
+    sent = texts.sparkSession.sparkContext.broadcast(common_shingles(texts, width))
+
+    def run(batches):
+        hasher = Hasher(width)
+        for batch in batches:
+            held, rows, sizes, places = [], [], [], []
+            for i, text in enumerate(batch.column(1)):
+                words = words_of(text.as_py())
+                if not words:
+                    continue
+                values = np.unique(hasher(words, min(width, len(words))))
+                first = signature_size(len(values), threshold)
+                held.append(values[np.argsort(sent.value[(values % np.uint64(COUNTERS)).astype(np.int64)], kind="stable")[:first]])
+                rows.append(np.full(first, i))
+                sizes.append(np.full(first, len(values), np.int32))
+                places.append(np.arange(first, dtype=np.int32))
+            if held:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(held).view(np.int64)), batch.column(0).take(pa.array(np.concatenate(rows))), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(places))], names=["shingle", "id", "n", "place"])
+
+    return texts.select("id", "text").mapInArrow(run, "shingle long, id long, n int, place int")
+
+
+def _across(shingle: np.ndarray, cell: np.ndarray, klass: np.ndarray):
+    """Positions (i, j), a bounded number at a time, of all pairs of a shingle and cell with different classes; rows are sorted by the three."""
+    new = np.r_[True, (np.diff(shingle) != 0) | (np.diff(cell) != 0)]
+    other = new | np.r_[True, np.diff(klass) != 0]
+
+    def end(starts):
+        at = np.r_[np.flatnonzero(starts), len(starts)]
+        return np.repeat(at[1:], np.diff(at))
+
+    lo = end(other)
+    n = end(new) - lo
+    some = np.flatnonzero(n)
+    ends = np.cumsum(n[some])
+    at = 0
+    while at < len(some):
+        base = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, base + PAIRS, "right")))
+        rows, sizes = some[at:to], n[some[at:to]]
+        i = np.repeat(rows, sizes)
+        yield i, np.arange(len(i)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(lo[rows], sizes)
+        at = to
+
+
+def missing(texts: DataFrame, classes: DataFrame, width: int, threshold: float, limit: int = CELL) -> DataFrame:
+    """(a, b, h, ca, cb): all pairs of different classes that the prefix filter can't rule out; the lower h, the more first shingles are shared."""
+    rows = stash(prefixes(texts, width, threshold), "prefixes")
+    held = rows.join(classes.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
+    sizes = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), (F.min("c") != F.max("c")).alias("several"))
+    sizes = stash(sizes.where("several").select("shingle", "n"), "shared")
+    rows = in_cells(held.join(sizes.select("shingle"), "shingle", "left_semi"), sizes, "shingle", "id", limit)
+    rows = rows.select("shingle", "cell", "c", "id", "n", "place").repartition("shingle", "cell").sortWithinPartitions("shingle", "cell", "c")
+    names = ["a", "b", "ca", "cb", "na", "nb", "pa", "pb"]
+
+    def search(shingle, cell, c, rep, n, place):
+        for i, j in _across(shingle, cell, c):
+            near = (n[i] >= threshold * n[j] - 1e-9) & (n[j] >= threshold * n[i] - 1e-9)
+            i, j = i[near], j[near]
+            i, j = np.where(rep[i] < rep[j], i, j), np.where(rep[i] < rep[j], j, i)
+            if len(i):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (rep[i], rep[j], c[i], c[j], n[i], n[j], place[i], place[j])], names=names)
+
+    def run(batches):
+        rest = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(6)]
+            if rest is not None:
+                cols = [np.concatenate(x) for x in zip(rest, cols, strict=True)]
+            last = last_group(cols[0], cols[1])
+            if last:
+                yield from search(*(x[:last] for x in cols))
+            rest = [x[last:] for x in cols]
+        if rest is not None:
+            yield from search(*rest)
+
+    found = rows.mapInArrow(run, "a long, b long, ca long, cb long, na int, nb int, pa int, pb int")
+    pairs = found.groupBy("a", "b", "ca", "cb", "na", "nb").agg(F.count(F.lit(1)).cast("int").alias("shared"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
+    # what is shared up to the last shared first shingle, and all behind it
+    most = F.col("shared") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
+    pairs = pairs.where(most >= threshold / (1 + threshold) * (F.col("na") + F.col("nb")) - 1e-6)
+    return pairs.select("a", "b", (-F.col("shared")).alias("h"), "ca", "cb")
+
+
+def grown(linked: DataFrame | None, edges: DataFrame, docs: DataFrame, width: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(links, classes) after all edges (a, b, h, ca, cb) between different classes have been verified, or joined by others."""
     ends = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    held = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    texts = stash(held.join(ends, "id", "left_semi").dropDuplicates(["id", "text"]), "ends")
-    linked, classes = None, None
+    texts = stash(docs.join(ends, "id", "left_semi").dropDuplicates(["id", "text"]), "ends")
     for turn in count():
         each = edges.select("ca", "cb", "h", "a", "b")
         sides = each.select(F.col("ca").alias("c"), "h", "a", "b").unionByName(each.select(F.col("cb").alias("c"), "h", "a", "b"))
@@ -275,5 +378,28 @@ def near_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         discard(spent, todo)
         if edges.isEmpty():
             break
+    return linked, classes
+
+
+def near_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WORDS, threshold: float = THRESHOLD, limit: int = CELL) -> DataFrame:
+    """(id, component): each row's class under links of a Jaccard similarity of at least ``threshold``.
+
+    Texts without words, null or empty, are one class; of fewer than ``width`` words all
+    are one shingle. Rows with the same shingles are one class whatever their number.
+    A null id gets its class's component, null if no row of the class has an id. Repeated
+    rows stay. An empty table gives no rows. ``id_col`` must be integer; other columns,
+    whatever their names, are not read.
+    """
+    trees, bits, level = shape(docs.count())
+    marks = stash(sketches(docs, id_col, text_col, width, trees * bits // 64), "sketches")
+    nodes = stash(marks.groupBy("lo", "hi").agg(F.min("id").cast("long").alias("rep"), F.first("sketch").alias("sketch")), "texts")
+    some = stash(nodes.where("rep is not null and (lo != 0 or hi != 0)").select("rep", "sketch"), "reps")
+    held = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    edges = stash(candidates(some, trees, bits, level, limit).select("a", "b", "h", F.col("a").alias("ca"), F.col("b").alias("cb")), "candidates")
+    linked, classes = grown(None, edges, held, width, threshold)
+    own = held.join(some.select(F.col("rep").alias("id")), "id", "left_semi")
+    edges = stash(missing(own, classes, width, threshold, limit), "missing")
+    if not edges.isEmpty():
+        classes = grown(linked, edges, held, width, threshold)[1]
     by_text = nodes.join(classes, nodes.rep == classes.node, "left").select("lo", "hi", F.coalesce("component", "rep").alias("component"))
     return marks.select("id", "lo", "hi").join(by_text, ["lo", "hi"]).select("id", "component")

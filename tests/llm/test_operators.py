@@ -167,6 +167,34 @@ def test_near_texts_equal_brute_force(spark, limit):
     assert [got[i] for i in range(len(texts))] == slow_texts(texts)
 
 
+def edited(rng, base, share):
+    """The words with so large a share of them replaced, each by a word of its own."""
+    out = list(base)
+    for i in rng.sample(range(len(base)), round(share * len(base))):
+        out[i] = f"v{rng.randrange(10**9)}"
+    return " ".join(out)
+
+
+def test_near_texts_joins_a_large_group_of_edited_copies(spark):
+    """Copies at 0.82 of a base and below 0.8 of each other: one class, though sketches of copies are often closest."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(3000)}" for _ in range(200)]
+    texts = [" ".join(base)] + [edited(rng, base, 0.02) for _ in range(400)]
+    got = {r.id: r.component for r in neartext.near_texts(docs(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == slow_texts(texts)
+
+
+@pytest.mark.parametrize("limit", [neartext.CELL, 30])
+def test_links_beyond_the_trees(spark, monkeypatch, limit):
+    """The same classes if no pair is found in a tree, so with any sketch."""
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(3000)}" for _ in range(60)]
+    texts = [" ".join(base)] + [edited(rng, base, 0.02) for _ in range(60)]
+    monkeypatch.setattr(neartext, "BANDS", (-1.0,))
+    got = {r.id: r.component for r in neartext.near_texts(docs(spark, texts), limit=limit).collect()}
+    assert [got[i] for i in range(len(texts))] == slow_texts(texts)
+
+
 @pytest.mark.parametrize(("trees", "width", "level"), [(16, 16, 8), (16, 16, 2), (32, 24, 1)])
 def test_each_shape_finds_the_pairs_that_meet(spark, trees, width, level):
     """Sketches within the first band link if a block of theirs is within one bit, whatever the levels."""
