@@ -4,7 +4,8 @@ A character trigram model is counted over all texts. A token that looks disguise
 (digits or signs among letters, separators between letters, letters drawn out, or
 letters set apart by spaces) becomes a lattice: each seen character may stand for
 itself, for letters that it is used for, or for nothing. The Viterbi path under the
-trigram model restores the word. Restored and plain words then give evidence: the
+trigram model restores the word; a second path, on which a separator may also end a
+word, restores the words of a phrase set apart in the same way. Restored and plain words then give evidence: the
 log-odds, learned from labelled texts, of the word and of its first letters. A logistic
 model over a text's strongest evidence gives the score; it is fitted on evidence that
 each half of the labelled texts gets from the other half, so that it isn't fooled by
@@ -33,7 +34,6 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "
 SEPARATORS = ".-_*~'`/\\,:; "
 #: Costs, as negative log-probabilities: a stand-in, a dropped separator, a dropped repeat.
 STAND_IN, DROPPED, REPEAT = 1.0, 0.3, 0.7
-LONGEST = 40
 SYMBOLS = 32
 
 _letters_apart = re.compile(r"(?<!\S)(?:[^\s.,;:!?\"()\[\]{}][ .\-_*]){2,}[^\s.,;:!?\"()\[\]{}](?![^\s.,;:!?\"()\[\]{}])")
@@ -85,9 +85,13 @@ def character_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return -np.log(three).ravel()
 
 
-def decode(token: str, model: np.ndarray) -> str:
-    """The likeliest letters behind a disguised token: the Viterbi path through its lattice."""
-    best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+def decode(token: str, model: np.ndarray, phrase: bool = False) -> str:
+    """The likeliest letters behind a disguised token: the Viterbi path through its lattice.
+
+    Of a phrase a separator may also be the end of a word, which gives a space. A state
+    holds its path as links to shared beginnings, so a token may have any length.
+    """
+    best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     drawn = {i for m in re.finditer(r"(.)\1\1+", token) for i in range(m.start() + 1, m.end())}
     for at, ch in enumerate(token):
         ways = []
@@ -99,6 +103,8 @@ def decode(token: str, model: np.ndarray) -> str:
             ways += [(x, STAND_IN) for x in LEET[ch]]
         if ch in SEPARATORS:
             ways.append(("", DROPPED))
+            if phrase:
+                ways.append((" ", DROPPED))
         if at in drawn:
             ways.append(("", REPEAT))
         nxt = {}
@@ -106,21 +112,28 @@ def decode(token: str, model: np.ndarray) -> str:
             for x, more in ways:
                 if x:
                     c = symbol(x)
-                    key, now = (b, c), (cost + more + model[(a << 10) | (b << 5) | c], out + x)
+                    key, now = (b, c), cost + more + model[(a << 10) | (b << 5) | c]
                 else:
-                    key, now = (a, b), (cost + more, out)
-                if key not in nxt or now < nxt[key]:
-                    nxt[key] = now
+                    key, now = (a, b), cost + more
+                if key not in nxt or now < nxt[key][0]:
+                    nxt[key] = (now, (x, out) if x else out)
         best = nxt
-    return min((cost + model[(a << 10) | (b << 5)], out) for (a, b), (cost, out) in best.items())[1] if best else ""
+    _, _, path = min(((cost + model[(a << 10) | (b << 5)], (a, b), out) for (a, b), (cost, out) in best.items()), key=lambda x: x[:2], default=(0.0, (0, 0), None))
+    letters = []
+    while path:
+        letters.append(path[0])
+        path = path[1]
+    return "".join(reversed(letters))
 
 
 def restored(token: str, model: np.ndarray) -> list[str]:
-    """Readings of a token other than itself: decoded, and with drawn-out letters cut to one."""
-    if not 3 <= len(token) <= LONGEST or not _odd.search(token) or not _letter.search(token):
+    """Readings of a token other than itself: decoded, the words of it as a phrase, and with drawn-out letters cut to one."""
+    if len(token) < 3 or not _odd.search(token) or not _letter.search(token):
         return []
-    out = decode(token, model)
-    return [x for x in dict.fromkeys((out, re.sub(r"(.)\1+", r"\1", out))) if len(x) >= 3 and x != token]
+    out = [decode(token, model)]
+    if any(ch in SEPARATORS for ch in token):
+        out += decode(token, model, phrase=True).split()
+    return [x for x in dict.fromkeys((*out, re.sub(r"(.)\1+", r"\1", out[0]))) if len(x) >= 3 and x != token]
 
 
 def tokens(text: str | None) -> set[str]:
@@ -129,8 +142,7 @@ def tokens(text: str | None) -> set[str]:
     out = {t.strip(_edges) or t for t in set(low.split())}
     if len(low) >= 5:
         for m in _letters_apart.finditer(low):
-            if len(m[0]) <= 2 * LONGEST:  # a word of one letter may stand next to the run
-                out.update((m[0], m[0][2:], m[0][:-2]))
+            out.update((m[0], m[0][2:], m[0][:-2]))  # a word of one letter may stand next to the run
     out.discard("")
     return out
 

@@ -195,6 +195,17 @@ def test_links_beyond_the_trees(spark, monkeypatch, limit):
     assert [got[i] for i in range(len(texts))] == slow_texts(texts)
 
 
+@pytest.mark.parametrize("shape", [(16, 16, 2), (32, 24, 1)])
+def test_short_near_texts_in_every_shape(spark, monkeypatch, shape):
+    """Eight words and the same with one more are at 0.8 exactly, often with sketches far apart."""
+    rng = random.Random(13)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(8)) for _ in range(100)]
+    texts += [f"{t} more{i}" for i, t in enumerate(texts)]
+    monkeypatch.setattr(neartext, "SHAPES", ((None, *shape),))
+    got = {r.id: r.component for r in neartext.near_texts(docs(spark, texts)).collect()}
+    assert [got[i] for i in range(200)] == [*range(100)] * 2
+
+
 @pytest.mark.parametrize(("trees", "width", "level"), [(16, 16, 8), (16, 16, 2), (32, 24, 1)])
 def test_each_shape_finds_the_pairs_that_meet(spark, trees, width, level):
     """Sketches within the first band link if a block of theirs is within one bit, whatever the levels."""
@@ -414,6 +425,24 @@ def test_toxicity_held_out_and_disguised(spark):
     assert toxicity.fit(df, lab.limit(0)).score("x") == 0.5 and toxicity.fit(docs(spark, []), lab).score("x") == 0.5
 
 
+def test_toxicity_of_long_disguises(spark):
+    rng = random.Random(3)
+    good = "you are such an and the people here know it well when they talk about moon river table garden window".split()
+    texts, labels = [], []
+    for i in range(900):
+        words = [rng.choice(good) for _ in range(rng.randint(5, 60))]
+        if i % 5 == 0:
+            words.insert(rng.randrange(len(words)), rng.choice(["idiot", "moron"]))
+        texts.append(" ".join(words))
+        labels.append((i, int(i % 5 == 0)))
+    scorer = toxicity.fit(docs(spark, texts), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    phrase = "you are such an {} and the people here know it well when they talk about it"
+    for bad, score in (("idiot", True), ("garden", False)):
+        words = phrase.format(bad).split()
+        for t in (" ".join("".join(words)), ".".join("".join(words)), "-".join(words), " ".join("".join(words * 5)), bad[:2] + bad[2] * 60 + bad[3:]):
+            assert (scorer.score(f"moon {t} river") >= 0.7) == score, t
+
+
 # --- 9 ------------------------------------------------------------------------
 
 
