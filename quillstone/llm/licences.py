@@ -9,6 +9,11 @@ in bounds are left out before any bigram is made, as are units without a word th
 match of a template must have one of. The rest meet the templates in an
 equi-join on bigrams, and shared bigrams are counted by unit and template.
 
+A notice that is wrapped over lines, or stands within a longer line, is no such unit.
+So windows of words are compared too: they begin and end with a bigram of the template
+and have at most (2 - t) / t times its bigrams. Of windows that overlap the one that shares most is kept,
+and of what the units have found already, none.
+
 Templates are a constant of this module, so their broadcast has a fixed size.
 """
 
@@ -103,10 +108,43 @@ def holds_any(text: Column, strings: list[str]) -> Column:
     return found
 
 
+def windows(held: DataFrame, texts: dict[str, str], threshold: float) -> DataFrame:
+    """(row, line, last, licence, shared, size, template_size, dice) of the best windows of each text (row, text) that don't overlap.
+
+    ``line`` and ``last`` are the lines in which a window begins and ends.
+    """
+    spark = held.sparkSession
+    sets = [(name, b, len(re.findall(r"[0-9]+(?:\.[0-9]+)+|[^\W_]+", t.lower())) - 1) for name, t in texts.items() for b in [bigrams_of(t)] if " " in b[0]]
+    if not sets:
+        return spark.createDataFrame([], "row long, line int, last int, licence string, shared int, size int, template_size int, dice double")
+    known = spark.createDataFrame([(name, b, len(b), math.ceil(round(threshold / (2 - threshold) * len(b), 9)), int(round((2 - threshold) / threshold * n, 9))) for name, b, n in sets], "licence string, grams array<string>, template_size int, need int, span int")
+    every = sorted({x for _, b, _ in sets for x in b})
+    w = F.flatten(F.transform(F.split(F.lower("text"), "\n"), lambda x, i: F.transform(words(x), lambda y: F.struct(y.alias("w"), (i + 1).alias("line")))))
+    each = held.select("row", w.alias("w")).where(F.size("w") > 1)
+    each = each.select("row", "w.line", F.zip_with(F.expr("slice(w, 1, size(w) - 1)"), F.expr("slice(w, 2, size(w) - 1)"), lambda a, b: F.concat_ws(" ", a["w"], b["w"])).alias("g"))
+    each = each.withColumn("hits", F.filter(F.transform("g", lambda x, i: F.when(x.isin(every), i + 1)), lambda x: x.isNotNull()))
+    each = each.where(F.size("hits") >= min(math.ceil(round(threshold / (2 - threshold) * len(b), 9)) for _, b, _ in sets))
+    each = each.crossJoin(F.broadcast(known)).withColumn("hits", F.filter("hits", lambda i: F.array_contains(F.col("grams"), F.element_at("g", i))))
+    each = each.where(F.size("hits") >= F.col("need"))
+    each = each.select("*", F.explode("hits").alias("at")).withColumn("ends", F.expr("filter(hits, q -> q >= at and q < at + span)")).where(F.size("ends") >= F.col("need"))
+    # only a window with the hits that a match needs is looked at
+    each = each.withColumn("ends", F.expr("slice(ends, need, size(ends))"))
+    scored = F.expr("transform(transform(ends, q -> struct(q, array_distinct(slice(g, at, q - at + 1)) as own)), x -> struct(x.q as q, size(array_intersect(x.own, grams)) as shared, size(x.own) as size))")
+    each = each.withColumn("x", F.array_min(F.transform(scored, lambda x: F.struct((-2.0 * x["shared"] / (x["size"] + F.col("template_size"))).alias("d"), x["q"].alias("q"), x["shared"].alias("shared"), x["size"].alias("size")))))
+    each = each.where(-F.col("x.d") >= threshold)
+    found = each.select("row", F.struct((-F.col("x.shared")).alias("most"), F.col("x.d").alias("d"), "licence", "at", F.col("x.q").alias("q"), F.element_at("line", F.col("at")).cast("int").alias("line"), F.element_at("line", F.col("x.q") + 1).cast("int").alias("last"), F.col("x.shared").alias("shared"), F.col("x.size").alias("size"), "template_size").alias("x"))
+    # most shared bigrams first, as a long notice may begin with a short one; each that overlaps none before it; a window of q bigrams has a word more
+    kept = F.expr("aggregate(slice(xs, 2, size(xs)), slice(xs, 1, 1), (got, x) -> if(exists(got, y -> x.at <= y.q and y.at <= x.q), got, concat(got, array(x))))")
+    out = found.groupBy("row").agg(F.array_sort(F.collect_list("x")).alias("xs")).select("row", F.explode(kept).alias("x"))
+    return out.select("row", "x.line", "x.last", "x.licence", "x.shared", "x.size", "x.template_size", (-F.col("x.d")).alias("dice"))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, line, licence, shared, size, template_size, dice) of each unit's best template at ``threshold`` or more.
 
-    ``line`` counts from 1; 0 is a text of several lines as a whole. Ties go to the
+    ``line`` counts from 1; 0 is a text of several lines as a whole. A window of words has
+    the line in which it begins; it is left out within a line that matches by itself, and
+    where a line of it, or the whole text, matches the same licence. Ties go to the
     template of smaller name. A null or empty text has no units; null ids and repeated
     rows are scanned like others, and repeated rows give repeated results. No rows give no
     rows. Only the named columns are read.
@@ -117,24 +155,29 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts:
     some = anchors(texts, threshold)
 
     held = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text is not null and text <> ''")
-    held = held.where(holds_any(F.lower("text"), some))
+    held = held.where(holds_any(F.lower("text"), some)).withColumn("row", F.monotonically_increasing_id())
     lines = F.split("text", "\n")
-    units = held.select("doc_id", F.posexplode(F.when(F.size(lines) > 1, F.concat(F.array("text"), lines)).otherwise(F.concat(F.array(F.lit("")), lines))).alias("line", "unit"))
+    units = held.select("row", "doc_id", F.posexplode(F.when(F.size(lines) > 1, F.concat(F.array("text"), lines)).otherwise(F.concat(F.array(F.lit("")), lines))).alias("line", "unit"))
     units = units.where("unit <> ''").withColumn("unit", F.lower("unit")).where(holds_any(F.col("unit"), some))
     units = units.withColumn("w", words(F.col("unit"))).where(F.size("w") > 0)
     units = units.where(F.size(F.array_distinct("w")) <= 2 * int(high) + 2)
-    units = units.select("doc_id", "line", bigrams(F.col("w")).alias("b")).withColumn("size", F.size("b")).where(F.col("size").between(low, high))
+    units = units.select("row", "doc_id", "line", bigrams(F.col("w")).alias("b")).withColumn("size", F.size("b")).where(F.col("size").between(low, high))
     near = F.lit(False)
     for n in sizes:
         near = near | F.col("size").between(*bounds(n, threshold))
     # rows of equal ids and texts stay apart: a unit's number is its own
     units = units.where(near).withColumn("unit", F.monotonically_increasing_id())
-    pairs = units.select("doc_id", "line", "unit", "size", F.explode("b").alias("bigram")).join(F.broadcast(templates(spark, texts).withColumnRenamed("size", "template_size")), "bigram")
+    pairs = units.select("row", "doc_id", "line", "unit", "size", F.explode("b").alias("bigram")).join(F.broadcast(templates(spark, texts).withColumnRenamed("size", "template_size")), "bigram")
     pairs = pairs.where((F.col("size") >= threshold / (2 - threshold) * F.col("template_size")) & (F.col("size") <= (2 - threshold) / threshold * F.col("template_size")))
-    shared = pairs.groupBy("unit", "doc_id", "line", "size", "licence", "template_size").agg(F.count(F.lit(1)).alias("shared"))
+    shared = pairs.groupBy("unit", "row", "doc_id", "line", "size", "licence", "template_size").agg(F.count(F.lit(1)).alias("shared"))
     scored = shared.withColumn("dice", 2 * F.col("shared") / (F.col("size") + F.col("template_size"))).where(F.col("dice") >= threshold)
-    best = scored.groupBy("unit", "doc_id", "line", "size").agg(F.min(F.struct((-F.col("dice")).alias("d"), "licence", "shared", "template_size")).alias("x"))
-    return best.select("doc_id", F.col("line").cast("int").alias("line"), "x.licence", "x.shared", F.col("size").cast("int").alias("size"), F.col("x.template_size").cast("int").alias("template_size"), (-F.col("x.d")).alias("dice"))
+    best = scored.groupBy("unit", "row", "doc_id", "line", "size").agg(F.min(F.struct((-F.col("dice")).alias("d"), "licence", "shared", "template_size")).alias("x"))
+    best = best.select("row", "doc_id", F.col("line").cast("int").alias("line"), "x.licence", "x.shared", F.col("size").cast("int").alias("size"), F.col("x.template_size").cast("int").alias("template_size"), (-F.col("x.d")).alias("dice"))
+    more = windows(held.select("row", "text"), texts, threshold).join(held.select("row", "doc_id"), "row").alias("m")
+    same = F.col("m.licence") == F.col("b.licence")
+    found = same & ((F.col("b.line") == 0) | F.col("b.line").between(F.col("m.line"), F.col("m.last"))) | (F.col("b.line") == F.col("m.line")) & (F.col("m.line") == F.col("m.last"))
+    more = more.join(best.alias("b"), (F.col("m.row") == F.col("b.row")) & found, "left_anti")
+    return best.drop("row").unionByName(more.select("doc_id", "line", "licence", F.col("shared").cast("long").alias("shared"), "size", "template_size", "dice"))
 
 
 def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -371,6 +371,15 @@ def test_main_text():
     assert [htmltext.main_text(x) for x in (None, "", "<", "<p", "</", "<!--", "plain", "<article></article>")][:3] == ["", "", "<"] and htmltext.main_text("a < b & c") == "a < b & c"
 
 
+def test_main_text_between_bodies_of_a_page_without_an_article():
+    long = ("long text " * 300).strip()
+    talk = [f"Line {i}, she said." for i in range(8)]
+    menu = "<ul>" + "".join(f"<li class=ad>Buy {i}</li>" for i in range(5)) + "</ul>"
+    close = ("the end " * 50).strip()
+    page = f"<body><div><p>{long}</p>{''.join(f'<p>{t}</p>' for t in talk)}{menu}<p><a href=x>A linked paragraph</a></p><p>{close}</p></div></body>"
+    assert htmltext.main_text(page) == "\n".join([long, *talk, "A linked paragraph", close])
+
+
 def test_html_rows(spark):
     df = spark.createDataFrame([(1, "u", None, "x"), (1, "u", "", "x"), (None, None, "<article><p>é</p></article>", "x")], "page_id long, url string, html string, text string")
     got = sorted((str(r.page_id), r.text, r.n_chars) for r in htmltext.extract(df).collect())
@@ -396,6 +405,20 @@ def test_licences_equal_brute_force(spark):
     assert licences.scan(docs(spark, ["All rights reserved."] * 2, [None, None])).count() == 2
 
 
+def test_licences_within_longer_texts(spark):
+    def wrapped(name, at=9):
+        w = licences.TEMPLATES[name].split(" ")
+        return "\n".join("# " + " ".join(w[i : i + at]) for i in range(0, len(w), at))
+
+    prose = " ".join(f"prose{i}" for i in range(300))
+    long = ["Apache-2.0-header", "MIT-grant", "MIT-warranty", "BSD-grant", "ISC-grant", "MPL-2.0", "GPL-or-later"]
+    texts = [f"{prose}\n{wrapped(name)}\n{prose}" for name in long] + [f"{prose} Licensed under CC BY 4.0.", f"{wrapped('MIT-grant')}\n{prose}\n{wrapped('MIT-grant')}", prose]
+    got = sorted((r.doc_id, r.line, r.licence) for r in licences.scan(docs(spark, texts)).where("dice = 1").collect())
+    want = [(i, 2, name) for i, name in enumerate(long)] + [(7, 1, "CC-BY-4.0")]
+    want += [(8, 1, "MIT-grant"), (8, 2 + wrapped("MIT-grant").count("\n") + 1, "MIT-grant")]
+    assert got == sorted(want)
+
+
 # --- 8 ------------------------------------------------------------------------
 
 
