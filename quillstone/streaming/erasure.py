@@ -1,4 +1,6 @@
-"""Erasure of personal fields: redaction of every stored copy, the log, and its summary.
+"""Erasure of personal fields: redaction of the relation it is given, forget events, survivors and a summary.
+
+What POLICY says of state columns, shared ids and cascades is data only: nothing here applies it (README).
 
 Amounts, ids and sequences stay. Redaction sets a value to JSON null, keeps absent keys
 absent and keeps the order of keys; only rows of erased ids are parsed.
