@@ -12,24 +12,33 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _own_scratch: dict[str, str] = {}
+#: Keys with more than this share of the rows, one in so many, are joined by a broadcast of at most so many rows.
+HOT_SHARE = 4096
 
 
 def scratch(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local one only where that is unset (tests)."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Where that is unset, a temporary folder in local mode, in which driver and executors
+    are one process; on a cluster that is an error, as executors don't see each other's disks.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if "dir" not in _own_scratch:
         _own_scratch["dir"] = tempfile.mkdtemp(prefix="quillstone-")
         atexit.register(shutil.rmtree, _own_scratch["dir"], ignore_errors=True)
     return "file://" + _own_scratch["dir"]
 
 
-def stash(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back: cuts lineage, survives lost executors."""
+def stash(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back: cuts lineage, survives lost executors. ``options`` are the writer's."""
     spark = df.sparkSession
     path = f"{scratch(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._stash_path = path
     return back
@@ -69,6 +78,23 @@ def gapless(df: DataFrame, keys: list[str], order: list[str], out: str, name: st
     )
 
 
+def join_hot(rows: DataFrame, groups: DataFrame, keys: list[str], weight: str, total: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined to ``groups``, one for each key, where a key may have any share of the rows.
+
+    ``weight`` is a column of groups: the rows of the key. Keys with more than
+    1 / HOT_SHARE of ``total`` rows are fewer than HOT_SHARE, so they are broadcast and
+    their rows stay where they are; the others are joined by a shuffle. The weight is
+    dropped. ``how``: inner or left.
+    """
+    most = max(1, total // HOT_SHARE)
+    hot, cold = groups.where(F.col(weight) > most).drop(weight), groups.where(F.col(weight) <= most).drop(weight)
+    mark = "_is_hot"
+    at = rows.join(F.broadcast(hot.withColumn(mark, F.lit(True))), keys, "left")
+    found = at.where(F.col(mark).isNotNull()).drop(mark)
+    rest = at.where(F.col(mark).isNull()).select(*rows.columns).join(cold, keys, how)
+    return found.unionByName(rest)
+
+
 def in_cells(rows: DataFrame, sizes: DataFrame, key: str, spread: str, limit: int) -> DataFrame:
     """``rows`` with a column ``cell``, such that any two rows of a key share a cell and none has more than about ``limit`` rows.
 
