@@ -4,12 +4,13 @@ Pieces are dealt to partitions of bounded size; each partition runs best-fit dec
 and a dual-feasible-function lower bound on its bin count. A partition whose count
 equals its bound is certified and only gives up its emptiest bin; one with a gap keeps
 its full bins and gives up the rest. What is given up is dealt anew, so partitions
-exchange documents, and is packed again, until a single partition is left or the
-rounds end.
+exchange documents, and is packed again, until a single partition is left or a round
+saves less than one sequence in a thousand. ``certificate`` holds the result against the same bound over all pieces.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 
@@ -23,7 +24,8 @@ from quillstone.llm.common import stash
 LENGTH = 2048
 #: Pieces in a partition; bounds the memory of a packing task.
 PARTITION = 65_536
-ROUNDS = 5
+#: A round goes on to another if it saves this share of the sequences that it was given.
+SAVES = 0.001
 #: Token strings kept by a worker: at most so many, of at most so many characters.
 CACHE, CACHED_CHARS = 600_000, 48
 _wide = re.compile(r" (?:\s|\Z)")
@@ -56,8 +58,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         state = json.loads(self.tokenizer.to_str())
+        added = [t["content"] for t in state.get("added_tokens") or ()]
+        # a text that holds a special token's string gets that token's id, as the tokenizer cuts the text there first
+        self.special = re.compile("|".join(map(re.escape, added))).search if added else lambda text: None
         before = state.get("pre_tokenizer") or {}
         self.by_parts = not state.get("normalizer") and before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
         self.find, self.letters = regex.compile(PRE_TOKEN).findall, _byte_letters()
@@ -99,6 +103,9 @@ class Encoder:
             for cache in (self.first, self.after, self.known):
                 cache.clear()
         for text in texts:
+            if self.special(text):
+                out.append(self.whole([text])[0])
+                continue
             if _wide.search(text):
                 heads, tails = self.parts(text), []
             else:
@@ -142,7 +149,11 @@ def cut(total: int, length: int) -> list[tuple[int, int]]:
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, path: str | None = None) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32) for each document's ids and the final id 0."""
+    """(doc_id, piece, start, length, ids_crc32) for each document's ids and the final id 0.
+
+    A null text is empty: one piece of length 1. Null ids and repeated rows give pieces
+    like any other; no rows give no rows. Only the named columns are read.
+    """
 
     def run(batches):
         encode = encoder(path)
@@ -192,14 +203,18 @@ def lower_bound(sizes: np.ndarray, capacity: int) -> int:
     """Bins that any packing needs: the largest bound of two families of dual feasible functions, in exact integers."""
     if not len(sizes):
         return 0
-    value, count = np.unique(sizes.astype(np.int64), return_counts=True)
-    best = -(-int((value * count).sum()) // capacity)
+    return bound(*np.unique(sizes.astype(np.int64), return_counts=True), capacity)
+
+
+def bound(value: np.ndarray, times: np.ndarray, capacity: int) -> int:
+    """``lower_bound`` of sizes given as distinct values and how often each occurs."""
+    best = -(-int((value * times).sum()) // capacity)
     for cut_at in value[value * 2 <= capacity].tolist():
-        mass = int((count * np.where(value > capacity - cut_at, capacity, np.where(value < cut_at, 0, value))).sum())
+        mass = int((times * np.where(value > capacity - cut_at, capacity, np.where(value < cut_at, 0, value))).sum())
         best = max(best, -(-mass // capacity))
     for k in range(1, 33):
         whole = (k + 1) * value % capacity == 0
-        mass = int((count * np.where(whole, value * k, (k + 1) * value // capacity * capacity)).sum())
+        mass = int((times * np.where(whole, value * k, (k + 1) * value // capacity * capacity)).sum())
         best = max(best, -(-mass // (k * capacity)))
     return best
 
@@ -230,33 +245,51 @@ def _packer(length: int, turn: int, last: bool):
     return run
 
 
-def pack(items: DataFrame, length: int = LENGTH, per_partition: int = PARTITION, rounds: int = ROUNDS) -> DataFrame:
+def pack(items: DataFrame, length: int = LENGTH, per_partition: int = PARTITION) -> DataFrame:
     """Give each piece (doc_id, piece, start, length, ids_crc32) a sequence_id, an offset and whether its bin was certified.
 
-    Null ids and repeated rows are packed like any other; no rows give no rows.
+    Rounds go on while they save sequences; the better of the last two stays. Null ids and repeated rows are packed like any other; no rows give no rows.
     """
     columns = items.columns
     kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in items.schema)
-    rest, closed = items, []
-    for turn in range(rounds):
+    rest, closed, opened, before = items, [], None, 0
+    for turn in itertools.count():
         n = rest.count()
         if not n and turn:
             break
         parts = max(1, -(-n // per_partition))
-        last = turn == rounds - 1 or parts == 1
 
-        dealt = rest.withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32", F.lit(turn)), F.lit(parts)))
-        packed = stash(dealt.groupBy("_part").applyInArrow(_packer(length, turn, last), f"{kind}, sequence_id long, offset long, certified boolean, done boolean"), "packed")
-        closed.append(packed.where("done").drop("done"))
-        if last:
+        # by row and not by content, as any number of rows may be equal
+        dealt = rest.withColumn("_part", F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(turn)), F.lit(parts)))
+        packed = stash(dealt.groupBy("_part").applyInArrow(_packer(length, turn, parts == 1), f"{kind}, sequence_id long, offset long, certified boolean, done boolean"), "packed")
+        used = _sequences(packed)
+        if opened is not None and before - used < max(1, SAVES * before):
+            closed.append(opened if used >= before else packed)
+            break
+        closed.append(packed.where("done"))
+        opened = packed.where("not done")
+        before, rest = _sequences(opened), opened.select(*columns)
+        if parts == 1:
             break
-        rest = packed.where("not done").select(*columns)
     out = closed[0]
     for more in closed[1:]:
         out = out.unionByName(more)
-    return out
+    return out.drop("done")
+
+
+def _sequences(packed: DataFrame) -> int:
+    return packed.agg(F.count_distinct("sequence_id").alias("n")).first()["n"]
+
+
+def certificate(packed: DataFrame, length: int = LENGTH) -> tuple[int, int]:
+    """(sequences used, sequences that any packing of these pieces needs); at most ``length`` counts reach the driver."""
+    by = packed.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()
+    value, n = (np.array([r[k] for r in sorted(by)], np.int64) for k in (0, 1))
+    return _sequences(packed), bound(value, n, length)
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document in its sequence. A null or empty text is the final id alone; null ids and repeated rows
+    are documents of their own; an empty table gives no rows; other columns are not read."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return pack(stash(pieces(docs), "pieces"))
