@@ -4,12 +4,15 @@ Texts become words (lower case, runs other than white space) and five-word shing
 an item of fewer words is one shingle of all of them. A document leaks an item if it
 holds at least ``threshold`` of the item's distinct shingles.
 
-Search. Items are partitioned by their number of shingles n, and each size class has a
-signature of its own length: the floor((1 - threshold) n) + 1 smallest MinHash values
-of the item. A document that holds the threshold's share misses fewer shingles than
-the signature has values, so it holds one of them: the search loses no leak, however
-short the item and long the document. Documents probe the signatures with all of their
-shingle values; each candidate is then verified by containment of the exact shingles.
+Search. Items are partitioned by size, a partition for each power of two of their number
+of shingles n. An item's MinHash signature is its floor((1 - threshold) n) + 1 smallest
+shingle values, and a partition's ceiling is the largest value in its signatures: low
+for long items, near the top for items of a few shingles. A document has one MinHash
+sketch for each partition: its values up to that ceiling, so as many as its own length
+and the items' size call for. (A sketch of fixed size would lose short items in long
+documents.) A document that holds the threshold's share of an item misses fewer shingles than
+the item's signature has values, so its sketch holds one of them, and no leak is lost.
+Candidates are verified by containment of the exact shingles.
 
 The benchmark is broadcast in blocks of a fixed number of shingles, so what a task
 holds is bounded however large the benchmark grows; each block is one scan of the
@@ -72,34 +75,49 @@ def signature_size(n: int, threshold: float) -> int:
     return n - math.ceil(round(threshold * n, 9)) + 1
 
 
+class Partition:
+    """The signatures of the items of one size class and shingle width, and the ceiling of the documents' sketches."""
+
+    def __init__(self, signatures: list[tuple[int, int]]):
+        owners: dict[int, list[int]] = defaultdict(list)
+        for value, at in signatures:
+            owners[value].append(at)
+        self.values, self.owners = np.array(sorted(owners), np.uint64), dict(owners)
+        self.ceiling = self.values[-1]
+
+    def probe(self, own: np.ndarray) -> set[int]:
+        """Items whose signature shares a value with the sketch of a document with these shingle values."""
+        sketch = own[own <= self.ceiling]
+        at = np.searchsorted(self.values, sketch)
+        return {i for v in set(sketch[self.values[at] == sketch].tolist()) for i in self.owners[v]}
+
+
 class Block:
-    """Items of one broadcast block, with the signatures of each size class."""
+    """Items of one broadcast block, in partitions by size."""
 
     def __init__(self, items: list[tuple], width: int, threshold: float):
-        self.width, self.threshold = width, threshold
+        self.threshold = threshold
         self.items = [(i, shingles_of(words_of(t), width)) for i, t in items]
         hasher = Hasher(width)
-        by_span: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
+        by_size: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
         for at, (_, shingles) in enumerate(self.items):
             if not shingles:
                 continue
             span = min(width, len(next(iter(shingles)).split(b" ")))  # under width only for an item shorter than a shingle
             values = sorted(int(hasher(s.split(b" "), span)[0]) for s in shingles)
-            for v in values[: signature_size(len(shingles), threshold)]:
-                by_span[span][v].append(at)
-        self.signatures = {span: (np.array(sorted(found), np.uint64), {v: tuple(ats) for v, ats in found.items()}) for span, found in by_span.items()}
+            by_size[span, len(shingles).bit_length()] += [(v, at) for v in values[: signature_size(len(shingles), threshold)]]
+        self.partitions: dict[int, list[Partition]] = defaultdict(list)
+        for (span, _), signatures in sorted(by_size.items()):
+            self.partitions[span].append(Partition(signatures))
 
     def search(self, text: str | None, hasher: Hasher) -> list[tuple]:
         """(item id, item's shingles, shared shingles) of the items that leak into the text."""
         words = words_of(text)
         candidates: set[int] = set()
-        for span, (values, owners) in self.signatures.items():
+        for span, parts in self.partitions.items():
             own = hasher(words, span)
-            if len(own):
-                at = np.searchsorted(values, own)
-                at[at == len(values)] = 0
-                for v in set(own[values[at] == own].tolist()):
-                    candidates.update(owners[v])
+            for part in parts if len(own) else ():
+                candidates |= part.probe(own)
         if not candidates:
             return []
         out, own_by = [], {}
@@ -157,7 +175,12 @@ def _bound(run):
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", width: int = WORDS, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """The rows of ``docs``, all columns, into which no item leaks. Null and wordless texts stay."""
+    """The rows of ``docs``, all columns, into which no item leaks.
+
+    Null and wordless texts stay, as do null ids and repeated rows; an item without words
+    removes nothing, and without items all rows stay. Columns of docs may have any names,
+    those of the benchmark too.
+    """
     kept = docs
     at = docs.columns.index(text_col)
     for sent in blocks(benchmark, item_id, item_text, width, threshold, block):
@@ -172,6 +195,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``leaks`` of the benchmark into all documents; nulls, empty texts, repeated rows and empty tables as there."""
     return leaks(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -180,8 +204,11 @@ WITH words AS (
   SELECT 'd' AS side, doc_id AS id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\t-\r ]+'), lambda x: x <> '') AS w FROM documents
   UNION ALL
   SELECT 'b', item_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\t-\r ]+'), lambda x: x <> '') FROM benchmark
+), widths AS (
+  SELECT DISTINCT least(5, len(w)) AS k FROM words WHERE side = 'b' AND len(w) > 0
 ), grams AS (
-  SELECT DISTINCT side, id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM words WHERE len(w) >= 5
+  SELECT DISTINCT side, id, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS g
+  FROM words JOIN widths ON CASE side WHEN 'b' THEN k = least(5, len(w)) ELSE k <= len(w) END
 ), sizes AS (SELECT id, count(*) AS n FROM grams WHERE side = 'b' GROUP BY id)
 SELECT d.id AS doc_id, b.id AS item_id, s.n AS item_shingles, count(*) AS shared_shingles, count(*) / s.n::DOUBLE AS containment
 FROM grams b JOIN grams d ON d.g = b.g AND d.side = 'd' JOIN sizes s ON s.id = b.id
