@@ -13,7 +13,7 @@ from __future__ import annotations
 import hashlib
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.llm.common import stash
@@ -23,6 +23,8 @@ PRIME, BASE = (1 << 127) - 1, 0x5DEECE66D1B54A32D192ED03A5F1C9B7 % ((1 << 127) -
 #: Turns in a rendered row; a longer conversation has more rows.
 CHUNK = 512
 START, END = "<|im_start|>", "<|im_end|>"
+#: In what is rendered: a backslash is put in front of the sign, so no text can hold a marker.
+ESCAPES = (("<\\", "<\\\\"), ("<|", "<\\|"))
 
 
 def turn_hash(role: str | None, text: str | None) -> int:
@@ -38,6 +40,13 @@ def extend(prefix: int, turn: int) -> int:
     return (prefix * BASE + turn + 1) % PRIME
 
 
+def escaped(text: Column) -> Column:
+    """The text without markers of its own; ``ESCAPES`` backwards gives it back."""
+    for plain, safe in ESCAPES:
+        text = F.replace(text, F.lit(plain), F.lit(safe))
+    return text
+
+
 def prefixes(turns: DataFrame) -> DataFrame:
     """(conv, pos, prefix, role, text): each turn's place from 1 on and the hash of the turns up to it.
 
@@ -116,29 +125,35 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
 
     A null role is rendered as ``user``, a null text as empty, though either differs
     from the other when conversations are compared; the turns without a conversation id
-    are one conversation. No rows give no rows. Only the named columns are read.
+    are one conversation. Markers within a text or role are escaped, and a role's line
+    feeds become spaces, so no turn can pose as another. Repeated rows are turns of their
+    own. No rows give no rows. Only the named columns are read.
     """
     held = turns.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.col(role_col).cast("string").alias("role"), F.col(text_col).cast("string").alias("text"))
     rows = prefixes(held)
     kept = stash(maximal(rows), "maximal")
-    shown = F.concat(F.lit(START), F.coalesce("role", F.lit("user")), F.lit("\n"), F.coalesce("text", F.lit("")), F.lit(END + "\n"))
-    parts = rows.select(F.col("conv").alias("_conv"), "pos", shown.alias("shown")).join(kept, F.col("_conv").eqNullSafe(F.col("conv")))
-    parts = parts.withColumn("chunk", F.floor((F.col("pos") - 1) / chunk).cast("int"))
+    role = escaped(F.translate(F.coalesce("role", F.lit("user")), "\r\n", "  "))
+    shown = F.concat(F.lit(START), role, F.lit("\n"), escaped(F.coalesce("text", F.lit(""))), F.lit(END + "\n"))
+    chunks = kept.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("turns") - 1) / chunk).cast("int"))))
+    # the join is by conversation and chunk, so a long conversation is not one task's
+    parts = rows.select(F.col("conv").alias("_conv"), F.floor((F.col("pos") - 1) / chunk).cast("int").alias("_chunk"), "pos", shown.alias("shown"))
+    parts = parts.join(chunks, F.col("_conv").eqNullSafe(F.col("conv")) & (F.col("_chunk") == F.col("chunk")))
     told = parts.groupBy("conv", "turns", "collapsed", "chunk").agg(F.sort_array(F.collect_list(F.struct("pos", "shown"))).alias("p"))
     return told.select("conv", "turns", "collapsed", "chunk", F.array_join("p.shown", "").alias("text"))
 
 
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations by ``format_chats``; nulls, repeated rows, long conversations and an empty table as there."""
     return format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet")).withColumnRenamed("conv", "conv_id")
 
 
-OP2_SQL = """
+OP2_SQL = r"""
 WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS pos, role, text FROM conversations),
 p AS (SELECT conv_id, pos, md5(string_agg(md5(coalesce(role, '\\N')) || md5(coalesce(text, '\\N')), '' ORDER BY pos) OVER (PARTITION BY conv_id ORDER BY pos)) AS h FROM t),
 f AS (SELECT conv_id, max(pos) AS pos, arg_max(h, pos) AS h FROM p GROUP BY conv_id),
 k AS (SELECT min(conv_id) AS conv_id, pos AS turns, count(*) - 1 AS collapsed FROM f
       WHERE NOT EXISTS (SELECT 1 FROM p JOIN f g ON g.conv_id = p.conv_id WHERE p.h = f.h AND p.pos = f.pos AND g.pos > p.pos) GROUP BY f.h, pos)
 SELECT k.conv_id, k.turns, k.collapsed, ((t.pos - 1) // 512)::INTEGER AS chunk,
-       string_agg('<|im_start|>' || coalesce(role, 'user') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), '' ORDER BY t.pos) AS text
+       string_agg('<|im_start|>' || replace(replace(translate(coalesce(role, 'user'), chr(13) || chr(10), '  '), '<\', '<\\'), '<|', '<\|') || chr(10) || replace(replace(coalesce(text, ''), '<\', '<\\'), '<|', '<\|') || '<|im_end|>' || chr(10), '' ORDER BY t.pos) AS text
 FROM k JOIN t ON t.conv_id = k.conv_id GROUP BY ALL
 """
