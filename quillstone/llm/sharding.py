@@ -1,12 +1,13 @@
 """Sharding by balanced label propagation over documents linked by equal texts.
 
 Rows are numbered in hash order and dealt round, so that shard counts differ by one at
-most. A group of equal texts, or a block of it if it is larger than a share of a shard,
+most. A group of equal texts, or a block of it if it is larger than a shard,
 then votes: its label is the shard that holds most of it. Members elsewhere ask to move
 there. A shard's quota of arrivals is what leaves it plus the unlinked rows that can
 make room; members are let in by group, largest groups first, and for each shard as
 many unlinked rows move from shards that gained to shards that lost. Counts so stay as
-they were dealt while edges between shards go. Rounds end when nobody can move.
+they were dealt while edges between shards go. Rounds end when a round lets nobody move,
+or would spread the groups over as many shards as before.
 
 What reaches the driver is a table of shards by shards; votes, ranks and moves are
 joins and aggregations, and numbering is done across partitions.
@@ -18,11 +19,9 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import discard, gapless, stash
+from quillstone.llm.common import discard, gapless, join_hot, stash
 
-SHARDS, ROUNDS = 40, 4
-#: Blocks of a large group: this share of a shard's rows, at most.
-BLOCK_SHARE = 0.25
+SHARDS = 40
 
 
 def quotas(asks: np.ndarray, free: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -73,7 +72,7 @@ def _limits(spark: SparkSession, linked: np.ndarray, room: np.ndarray) -> DataFr
     return spark.createDataFrame(rows, "now int, to int, linked long, lo long, hi long")
 
 
-def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS) -> DataFrame:
     """(doc_id, size, text_crc32, digest, shard, slot) for each row; counts of shards differ by one at most.
 
     A null text has no bytes and is linked to other null texts; null ids and repeated
@@ -82,25 +81,30 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shar
     spark = docs.sparkSession
     text = F.encode(F.col(text_col).cast("string"), "utf-8")
     rows = docs.select(F.col(id_col).alias("doc_id"), (F.coalesce(F.octet_length(text), F.lit(0)) + 16).cast("long").alias("size"), F.crc32(F.coalesce(text, F.lit(b""))).alias("text_crc32"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("h1"), F.md5(F.coalesce(text, F.lit(b""))).alias("digest"), text.isNull().alias("none"))
-    rows = rows.withColumn("_order", F.xxhash64("doc_id", F.lit(11)))
-    now = gapless(rows, [], ["_order", "doc_id"], "_n", "dealt").withColumn("shard", (F.col("_n") % shards).cast("int"))
-    now = stash(now.drop("_order"), "dealt")
+    # rows of equal ids and texts, of which there may be any number, are told apart by their place
+    rows = rows.withColumns({"_order": F.xxhash64("doc_id", F.lit(11)), "_place": F.monotonically_increasing_id()})
+    now = gapless(rows, [], ["_order", "doc_id", "digest", "_place"], "_n", "dealt").withColumn("shard", (F.col("_n") % shards).cast("int"))
+    now = stash(now.drop("_order", "_place"), "dealt")
     total = now.count()
-    block = max(2, int(total / shards * BLOCK_SHARE))
+    block = max(2, total // shards)
     keys = ["digest", "none"]
     groups = now.groupBy(*keys).agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    groups = stash(groups.withColumn("blocks", F.ceil(F.col("members") / block).cast("int")), "groups")
-    # groups of several blocks have more rows than a block each, so they are fewer than shards / BLOCK_SHARE
-    large = F.broadcast(groups.where("blocks > 1"))
-    linked = now.join(large, keys).unionByName(now.join(large, keys, "left_anti").join(groups.where("blocks = 1"), keys))
+    groups = stash(groups.withColumns({"blocks": F.ceil(F.col("members") / block).cast("int"), "weight": F.col("members")}), "groups")
+    linked = join_hot(now, groups, keys, "weight", total)
     linked = linked.withColumn("block", F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("_n"), F.col("blocks")).cast("int")).otherwise(0))
     linked = stash(linked.select("_n", "shard", F.xxhash64("digest", "none", "block").alias("block"), F.when(F.col("blocks") > 1, F.col("members") / F.col("blocks")).otherwise(F.col("members")).cast("long").alias("members")), "linked")
     loose = stash(now.select("_n", "shard").join(linked.select("_n"), "_n", "left_anti"), "loose")
 
-    for turn in range(rounds):
-        votes = linked.groupBy("block", "shard").agg(F.count(F.lit(1)).alias("n"))
-        label = votes.groupBy("block").agg(F.max_by("shard", F.struct("n", F.xxhash64("block", "shard"))).alias("to"))
-        asks = linked.join(label, "block").withColumn("to", F.when(F.col("to") != F.col("shard"), F.col("to")))
+    before = None
+    while True:
+        votes = stash(linked.groupBy("block", "shard").agg(F.count(F.lit(1)).alias("n")), "votes")
+        spread = votes.count()
+        if before is not None and spread >= before[0]:
+            linked, loose = before[1:]
+            break
+        before = spread, linked, loose
+        label = votes.groupBy("block").agg(F.max_by("shard", F.struct("n", F.xxhash64("block", "shard"))).alias("to"), F.sum("n").alias("weight"))
+        asks = join_hot(linked, label, ["block"], "weight", total).withColumn("to", F.when(F.col("to") != F.col("shard"), F.col("to")))
         asks = stash(asks, "asks")
         want, free = np.zeros((shards, shards), np.int64), np.zeros(shards, np.int64)
         for r in asks.where("to is not null").groupBy("shard", "to").count().collect():
@@ -120,7 +124,7 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shar
         chosen = F.element_at(F.filter("spans", lambda s: (F.col("_rank") >= s["lo"]) & (F.col("_rank") < s["hi"])), 1)["to"]
         loose_next = ranked.join(F.broadcast(steps), "shard", "left").select("_n", F.coalesce(F.when(F.exists("spans", lambda s: (F.col("_rank") >= s["lo"]) & (F.col("_rank") < s["hi"])), chosen), F.col("shard")).alias("shard"))
         linked, loose = stash(linked_next, "linked"), stash(loose_next, "loose")
-        discard(asks)
+        discard(asks, votes)
 
     placed = now.drop("shard").join(linked.select("_n", "shard").unionByName(loose), "_n")
     return gapless(placed, ["shard"], ["_n"], "slot", "placed").drop("h1", "none")
@@ -133,6 +137,7 @@ def cut_links(placed: DataFrame) -> DataFrame:
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in shards under the law ``rows``; nulls, empty texts, repeated rows and an empty table as in ``assign``."""
     placed = assign(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
