@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 #: Labelled rows that the classifier is fitted on, at most: those of smallest XXH64 of the id.
 FIT_ROWS = 32_768
-#: Texts with a feature, at least, for it to have a weight; the most features kept, by toxic texts.
-LEAST, MOST_FEATURES = 3, 200_000
+#: Texts with a feature, at least, for it to have a weight.
+LEAST = 3
 PREFIXES = range(3, 7)
 #: Letters that a digit or sign is used for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "li", "+": "t", "€": "e", "£": "l", "(": "c", "<": "c"}
@@ -219,7 +219,10 @@ class Scorer:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", limit: int = FIT_ROWS) -> Scorer:
     """Count characters over all texts, then learn from at most ``limit`` labelled ones.
 
-    Without labels of both kinds the score is the share of label 1 (0.5 if there are none).
+    Every feature that LEAST of these toxic texts have, and more toxic than clean ones, has
+    a weight; their number is bounded by that of the labelled texts. Rows without a text
+    and repeated rows count like others; a label without a document is not used. Without
+    labels of both kinds the score is the share of label 1 (0.5 if there are none).
     """
     model = character_model(docs, text_col)
     sc = docs.sparkSession.sparkContext
@@ -246,7 +249,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(ys, pa.int32()), pa.array(folds, pa.int32())], names=["feature", "y", "fold"])
 
     each = sample.mapInArrow(count, "feature string, y int, fold int").groupBy("feature").agg(*(F.count_if((F.col("y") == y) & (F.col("fold") == k)).alias(f"n{y}{k}") for y in (0, 1) for k in (0, 1)))
-    rows = each.where((F.col("feature") == "") | ((F.col("n10") + F.col("n11") >= LEAST) & (F.col("n10") + F.col("n11") > F.col("n00") + F.col("n01")))).orderBy(F.col("feature") != "", -(F.col("n10") + F.col("n11")), "feature").limit(MOST_FEATURES).toArrow().to_pydict()
+    rows = each.where((F.col("feature") == "") | ((F.col("n10") + F.col("n11") >= LEAST) & (F.col("n10") + F.col("n11") > F.col("n00") + F.col("n01")))).orderBy("feature").toArrow().to_pydict()
     n = {k: np.array(rows[k], float) for k in ("n00", "n01", "n10", "n11")}
     if not rows["feature"] or rows["feature"][0] != "":
         return Scorer(Weights({}, model), np.zeros(4))
@@ -274,7 +277,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def with_score(docs: DataFrame, scorer: Scorer, text_col: str = "text", out: str = "score") -> DataFrame:
-    """All columns of ``docs`` and the score of each row's whole text. Null and empty texts get the score of no evidence."""
+    """All columns of ``docs`` and the score of each row's whole text.
+
+    Null and empty texts get the score of no evidence; equal texts get equal scores, and
+    repeated rows and null ids stay. No rows give no rows. A column of docs that is named
+    like ``out`` is replaced.
+    """
+    docs = docs.drop(out) if out != text_col else docs
     sent = docs.sparkSession.sparkContext.broadcast((scorer.weights.weight, scorer.weights.model, scorer.linear))
     at = docs.columns.index(text_col)
 
@@ -291,6 +300,7 @@ def with_score(docs: DataFrame, scorer: Scorer, text_col: str = "text", out: str
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A score of every document. A null id is not held out; nulls, empty texts, repeated rows and empty tables as in ``fit`` and ``with_score``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     scorer = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return with_score(docs, scorer).select("doc_id", (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
