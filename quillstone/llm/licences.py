@@ -19,8 +19,8 @@ Templates are a constant of this module, so their broadcast has a fixed size.
 
 from __future__ import annotations
 
-import math
 import re
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,8 +76,22 @@ def bigrams(w: Column) -> Column:
     return F.when(F.size(w) > 1, F.array_distinct(pairs)).otherwise(w)
 
 
-def bounds(size: int, threshold: float) -> tuple[float, float]:
-    return threshold / (2 - threshold) * size, (2 - threshold) / threshold * size
+def ratio(threshold: float) -> tuple[int, int]:
+    """The threshold as a fraction, so that what lies on it is compared in integers."""
+    t = Fraction(threshold).limit_denominator(10_000)
+    return t.numerator, t.denominator
+
+
+def bounds(size: int, threshold: float) -> tuple[int, int]:
+    """The smallest and the largest number that can reach the threshold against ``size``: t / (2 - t) times it and (2 - t) / t times it."""
+    p, q = ratio(threshold)
+    return -(-p * size // (2 * q - p)), (2 * q - p) * size // p
+
+
+def reaches(shared: Column, size: Column, template_size: Column, threshold: float) -> Column:
+    """Whether the Dice coefficient 2 shared / (size + template_size) is at least the threshold."""
+    p, q = ratio(threshold)
+    return shared.cast("long") * (2 * q) >= (size + template_size).cast("long") * p
 
 
 def anchors(texts: dict[str, str], threshold: float) -> list[str]:
@@ -90,7 +104,7 @@ def anchors(texts: dict[str, str], threshold: float) -> list[str]:
     out = set()
     for text in texts.values():
         grams = bigrams_of(text)
-        miss = len(grams) - math.ceil(round(threshold / (2 - threshold) * len(grams), 9))
+        miss = len(grams) - bounds(len(grams), threshold)[0]
         words = sorted({w for b in grams for w in b.split(" ")}, key=lambda w: (-len(w), w))
         covered: set[str] = set()
         for w in words:
@@ -117,13 +131,13 @@ def windows(held: DataFrame, texts: dict[str, str], threshold: float) -> DataFra
     sets = [(name, b, len(re.findall(r"[0-9]+(?:\.[0-9]+)+|[^\W_]+", t.lower())) - 1) for name, t in texts.items() for b in [bigrams_of(t)] if " " in b[0]]
     if not sets:
         return spark.createDataFrame([], "row long, line int, last int, licence string, shared int, size int, template_size int, dice double")
-    known = spark.createDataFrame([(name, b, len(b), math.ceil(round(threshold / (2 - threshold) * len(b), 9)), int(round((2 - threshold) / threshold * n, 9))) for name, b, n in sets], "licence string, grams array<string>, template_size int, need int, span int")
+    known = spark.createDataFrame([(name, b, len(b), bounds(len(b), threshold)[0], bounds(n, threshold)[1]) for name, b, n in sets], "licence string, grams array<string>, template_size int, need int, span int")
     every = sorted({x for _, b, _ in sets for x in b})
     w = F.flatten(F.transform(F.split(F.lower("text"), "\n"), lambda x, i: F.transform(words(x), lambda y: F.struct(y.alias("w"), (i + 1).alias("line")))))
     each = held.select("row", w.alias("w")).where(F.size("w") > 1)
     each = each.select("row", "w.line", F.zip_with(F.expr("slice(w, 1, size(w) - 1)"), F.expr("slice(w, 2, size(w) - 1)"), lambda a, b: F.concat_ws(" ", a["w"], b["w"])).alias("g"))
     each = each.withColumn("hits", F.filter(F.transform("g", lambda x, i: F.when(x.isin(every), i + 1)), lambda x: x.isNotNull()))
-    each = each.where(F.size("hits") >= min(math.ceil(round(threshold / (2 - threshold) * len(b), 9)) for _, b, _ in sets))
+    each = each.where(F.size("hits") >= min(bounds(len(b), threshold)[0] for _, b, _ in sets))
     each = each.crossJoin(F.broadcast(known)).withColumn("hits", F.filter("hits", lambda i: F.array_contains(F.col("grams"), F.element_at("g", i))))
     each = each.where(F.size("hits") >= F.col("need"))
     each = each.select("*", F.explode("hits").alias("at")).withColumn("ends", F.expr("filter(hits, q -> q >= at and q < at + span)")).where(F.size("ends") >= F.col("need"))
@@ -131,7 +145,7 @@ def windows(held: DataFrame, texts: dict[str, str], threshold: float) -> DataFra
     each = each.withColumn("ends", F.expr("slice(ends, need, size(ends))"))
     scored = F.expr("transform(transform(ends, q -> struct(q, array_distinct(slice(g, at, q - at + 1)) as own)), x -> struct(x.q as q, size(array_intersect(x.own, grams)) as shared, size(x.own) as size))")
     each = each.withColumn("x", F.array_min(F.transform(scored, lambda x: F.struct((-2.0 * x["shared"] / (x["size"] + F.col("template_size"))).alias("d"), x["q"].alias("q"), x["shared"].alias("shared"), x["size"].alias("size")))))
-    each = each.where(-F.col("x.d") >= threshold)
+    each = each.where(reaches(F.col("x.shared"), F.col("x.size"), F.col("template_size"), threshold))
     found = each.select("row", F.struct((-F.col("x.shared")).alias("most"), F.col("x.d").alias("d"), "licence", "at", F.col("x.q").alias("q"), F.element_at("line", F.col("at")).cast("int").alias("line"), F.element_at("line", F.col("x.q") + 1).cast("int").alias("last"), F.col("x.shared").alias("shared"), F.col("x.size").alias("size"), "template_size").alias("x"))
     # most shared bigrams first, as a long notice may begin with a short one; each that overlaps none before it; a window of q bigrams has a word more
     kept = F.expr("aggregate(slice(xs, 2, size(xs)), slice(xs, 1, 1), (got, x) -> if(exists(got, y -> x.at <= y.q and y.at <= x.q), got, concat(got, array(x))))")
@@ -160,7 +174,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts:
     units = held.select("row", "doc_id", F.posexplode(F.when(F.size(lines) > 1, F.concat(F.array("text"), lines)).otherwise(F.concat(F.array(F.lit("")), lines))).alias("line", "unit"))
     units = units.where("unit <> ''").withColumn("unit", F.lower("unit")).where(holds_any(F.col("unit"), some))
     units = units.withColumn("w", words(F.col("unit"))).where(F.size("w") > 0)
-    units = units.where(F.size(F.array_distinct("w")) <= 2 * int(high) + 2)
+    units = units.where(F.size(F.array_distinct("w")) <= 2 * high + 2)
     units = units.select("row", "doc_id", "line", bigrams(F.col("w")).alias("b")).withColumn("size", F.size("b")).where(F.col("size").between(low, high))
     near = F.lit(False)
     for n in sizes:
@@ -168,9 +182,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts:
     # rows of equal ids and texts stay apart: a unit's number is its own
     units = units.where(near).withColumn("unit", F.monotonically_increasing_id())
     pairs = units.select("row", "doc_id", "line", "unit", "size", F.explode("b").alias("bigram")).join(F.broadcast(templates(spark, texts).withColumnRenamed("size", "template_size")), "bigram")
-    pairs = pairs.where((F.col("size") >= threshold / (2 - threshold) * F.col("template_size")) & (F.col("size") <= (2 - threshold) / threshold * F.col("template_size")))
+    p, q = ratio(threshold)
+    pairs = pairs.where((F.col("size") * (2 * q - p) >= F.col("template_size") * p) & (F.col("size") * p <= F.col("template_size") * (2 * q - p)))
     shared = pairs.groupBy("unit", "row", "doc_id", "line", "size", "licence", "template_size").agg(F.count(F.lit(1)).alias("shared"))
-    scored = shared.withColumn("dice", 2 * F.col("shared") / (F.col("size") + F.col("template_size"))).where(F.col("dice") >= threshold)
+    scored = shared.withColumn("dice", 2 * F.col("shared") / (F.col("size") + F.col("template_size"))).where(reaches(F.col("shared"), F.col("size"), F.col("template_size"), threshold))
     best = scored.groupBy("unit", "row", "doc_id", "line", "size").agg(F.min(F.struct((-F.col("dice")).alias("d"), "licence", "shared", "template_size")).alias("x"))
     best = best.select("row", "doc_id", F.col("line").cast("int").alias("line"), "x.licence", "x.shared", F.col("size").cast("int").alias("size"), F.col("x.template_size").cast("int").alias("template_size"), (-F.col("x.d")).alias("dice"))
     more = windows(held.select("row", "text"), texts, threshold).join(held.select("row", "doc_id"), "row").alias("m")
@@ -181,10 +196,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts:
 
 
 def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notices found in all documents; nulls, empty texts, ties, repeated rows and an empty table as in ``scan``."""
     return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def _sql() -> str:
+    p, q = ratio(THRESHOLD)
     rows = ", ".join("('{}', {}, '{}')".format(name, len(bigrams_of(t)), x) for name, t in TEMPLATES.items() for x in bigrams_of(t))
     return rf"""
 WITH t(licence, template_size, bigram) AS (VALUES {rows}),
@@ -194,7 +211,7 @@ w AS (SELECT doc_id, line, regexp_extract_all(lower(unit), '[0-9]+(?:\.[0-9]+)+|
 b AS (SELECT row_number() OVER () AS unit, doc_id, line, CASE WHEN len(w) > 1 THEN list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) ELSE w END AS b FROM w WHERE len(w) > 0),
 e AS (SELECT unit, doc_id, line, len(b) AS size, unnest(b) AS bigram FROM b),
 s AS (SELECT unit, doc_id, line, size, licence, template_size, count(*) AS shared, 2 * count(*) / (size + template_size)::DOUBLE AS dice FROM e JOIN t USING (bigram) GROUP BY unit, doc_id, line, size, licence, template_size),
-r AS (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY dice DESC, licence) AS rn FROM s WHERE dice >= {THRESHOLD})
+r AS (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY dice DESC, licence) AS rn FROM s WHERE {2 * q} * shared >= {p} * (size + template_size))
 SELECT doc_id, line::INTEGER AS line, licence, shared, size::INTEGER AS size, template_size::INTEGER AS template_size, dice FROM r WHERE rn = 1
 """
 
