@@ -200,14 +200,8 @@ def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
             empty = [None] * len(keys)
             yield pa.RecordBatch.from_arrays([pa.array(empty, batch.column(0).type), pa.array(empty, pa.int64()), pa.array(empty, pa.string()), pa.array(empty, part), pa.array(keys, pa.binary()), pa.array(loose, pa.binary())], names=names)
 
-    spark = docs.sparkSession
-    codec = spark.conf.get("spark.sql.parquet.compression.codec")
-    spark.conf.set("spark.sql.parquet.compression.codec", "zstd")
-    try:
-        both = stash(held.mapInArrow(chunked, f"id {kind}, n_bytes long, media_sha256 string, chunks array<struct<digest:binary,data:binary>>, digest binary, data binary"), "media")
-        chunks = stash(both.where("digest is not null").select("digest", "data").dropDuplicates(["digest"]), "chunks")
-    finally:
-        spark.conf.set("spark.sql.parquet.compression.codec", codec)
+    both = stash(held.mapInArrow(chunked, f"id {kind}, n_bytes long, media_sha256 string, chunks array<struct<digest:binary,data:binary>>, digest binary, data binary"), "media", compression="zstd")
+    chunks = stash(both.where("digest is not null").select("digest", "data").dropDuplicates(["digest"]), "chunks", compression="zstd")
     return both.where("media_sha256 is not null").drop("digest", "data"), chunks
 
 
@@ -251,5 +245,6 @@ def media_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of every document's stored media; nulls, empty texts, repeated rows and an empty table as in ``media_features``."""
     got = media_features(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return got.select(F.col("id").alias("doc_id"), "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")

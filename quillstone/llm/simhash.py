@@ -185,5 +185,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and class of every document; nulls, empty texts, repeated rows and an empty table as in ``near_duplicates``."""
     found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
