@@ -17,8 +17,13 @@ def json_string(doc: str | Column, path: str) -> Column:
 
 
 def json_decimal(doc: str | Column, path: str) -> Column:
-    """Exact for JSON numbers and strings alike; text extraction would go through a double."""
-    return F.try_variant_get(F.parse_json(doc), f"$.{path}", DECIMAL)
+    """Exact for JSON numbers and strings alike; text extraction would go through a double.
+
+    A value that is no decimal is an error, as in a cast; a text that is no JSON has no value.
+    """
+    value = F.try_variant_get(F.try_parse_json(doc), f"$.{path}", DECIMAL)
+    text = F.try_variant_get(F.try_parse_json(doc), f"$.{path}", "string")
+    return F.coalesce(value, text.cast(DECIMAL))
 
 
 def json_int(doc: str | Column, path: str) -> Column:

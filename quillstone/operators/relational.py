@@ -45,22 +45,27 @@ def signed_balance(dr: str, cr: str, normal: str | Column) -> Column:
     return F.when((F.col(normal) if isinstance(normal, str) else normal) == "debit", dr - cr).otherwise(cr - dr).cast(DECIMAL)
 
 
-def reconcile(persisted: DataFrame, computed: DataFrame, grain: Sequence[str]) -> DataFrame:
-    """Both sides of each grain in a full outer join, with a status.
+def status(ledger: Column, warehouse: Column) -> Column:
+    """How the two sides of a grain compare; ``ledger`` and ``warehouse`` say whether each has it.
 
-    The sides have dr_balance and cr_balance. A figure that only the ledger holds is a
-    failure unless it is zero on both sides: a layer that no entry touched.
+    A figure that only the ledger holds is a failure unless it is zero on both sides: a
+    layer that no entry touched.
     """
-    a = persisted.select(*grain, F.col("dr_balance").alias("ledger_dr_balance"), F.col("cr_balance").alias("ledger_cr_balance"), F.lit(True).alias("_a"))
-    b = computed.select(*grain, F.col("dr_balance").alias("warehouse_dr_balance"), F.col("cr_balance").alias("warehouse_cr_balance"), F.lit(True).alias("_b"))
-    status = (
-        F.when(F.col("_a").isNull(), "missing_in_ledger")
-        .when(F.col("_b").isNull() & ((F.col("ledger_dr_balance") != 0) | (F.col("ledger_cr_balance") != 0)), "missing_in_warehouse")
-        .when(F.col("_b").isNull(), "ok_untouched_layer")
-        .when((F.col("ledger_dr_balance") != F.col("warehouse_dr_balance")) | (F.col("ledger_cr_balance") != F.col("warehouse_cr_balance")), "amount_mismatch")
+    dr, cr = F.col("ledger_dr_balance"), F.col("ledger_cr_balance")
+    return (
+        F.when(~ledger, "missing_in_ledger")
+        .when(~warehouse & ((dr != 0) | (cr != 0)), "missing_in_warehouse")
+        .when(~warehouse, "ok_untouched_layer")
+        .when((dr != F.col("warehouse_dr_balance")) | (cr != F.col("warehouse_cr_balance")), "amount_mismatch")
         .otherwise("ok")
     )
-    return a.join(b, list(grain), "full_outer").withColumn("status", status).drop("_a", "_b")
+
+
+def reconcile(persisted: DataFrame, computed: DataFrame, grain: Sequence[str]) -> DataFrame:
+    """Both sides of each grain in a full outer join, with a status; the sides have dr_balance and cr_balance."""
+    a = persisted.select(*grain, F.col("dr_balance").alias("ledger_dr_balance"), F.col("cr_balance").alias("ledger_cr_balance"), F.lit(True).alias("_a"))
+    b = computed.select(*grain, F.col("dr_balance").alias("warehouse_dr_balance"), F.col("cr_balance").alias("warehouse_cr_balance"), F.lit(True).alias("_b"))
+    return a.join(b, list(grain), "full_outer").withColumn("status", status(F.col("_a").isNotNull(), F.col("_b").isNotNull())).drop("_a", "_b")
 
 
 def as_of(df: DataFrame, keys: Sequence[str], version: str, recorded_at: str, cutoff) -> DataFrame:

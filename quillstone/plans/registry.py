@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,9 +12,10 @@ from quillstone.operators import relational as R
 from quillstone.plans import marts as M
 from quillstone.sources import tables as S
 from quillstone.streaming import erasure as X
+from quillstone.streaming import extract as E
 from quillstone.streaming import ingest as I
 
-CUTOFF = "1995-06-17 00:00:00"
+CUTOFF, LATER = "1995-06-17 00:00:00", "1995-09-17 00:00:00"
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -56,10 +59,47 @@ def sequence_gaps(spark, d):
     return whole.unionByName(holed).select("stream", "entity_id", "min_sequence", "max_sequence", "event_count")
 
 
+def per_layer_seeded(spark, d):
+    """The control by layer over entries of which some credits were moved to another layer, so that only layers differ."""
+    e = M.fct_entries(spark, d)
+    moved = (F.col("direction") == "credit") & (F.col("entry_sequence") == 3)
+    return M.unequal(e.withColumn("layer", F.when(moved, "encumbrance").otherwise(F.col("layer"))), ["transaction_id", "currency", "layer"])
+
+
+def scd2_current_seeded(spark, d):
+    """The control over versions whose latest isn't current where it is an error."""
+    v = R.scd2(S.events(spark, d), "id", "sequence", "recorded_at")
+    return R.not_one_current(v.withColumn("is_current", F.col("is_current") & (F.col("event_type") != "error")), "id")
+
+
+def json_values(spark, d):
+    """Every typed read, of nested documents made from the events."""
+    k = J.json_string("event", "k")
+    doc = F.concat(F.lit('{"a":{"b":{"id":"x'), k, F.lit('"}},"flag":'), F.when(F.col("event_type") == "error", "true").otherwise("false"), F.lit(',"when":"2020-01-01T15:29:45+02:00","units":'), k, F.lit('.500000000000000001,"none":null,"word":"null","tags":["p","q'), k, F.lit('"]}'))
+    e = S.events(spark, d).select("outbox_sequence", doc.alias("doc"))
+    tags = J.json_string_array("doc", "tags")
+    return e.select("outbox_sequence", J.json_string("doc", "a.b.id").alias("nested"), J.json_bool("doc", "flag").alias("flag"), J.json_timestamp("doc", "when").alias("at"), J.json_decimal("doc", "units").alias("units"), J.json_object("doc", "a").alias("part"), J.json_object("doc", "none").alias("none"), J.json_object("doc", "word").alias("word"), F.array_join(tags, "|").alias("tags"), J.array_has(tags, "q7").alias("has_q7"))
+
+
+def stream_totals(spark, d):
+    """One row over the whole stream."""
+    return S.events(spark, d).agg(F.count(F.lit(1)).alias("events"), F.count_distinct("id").alias("entities"), F.max("outbox_sequence").alias("highest"), F.coalesce(F.sum(F.when(F.col("event_type") == "none such", 1)), F.lit(0)).cast("bigint").alias("nothing"))
+
+
 def balance_unpivot(spark, d):
     return M.persisted_balances(spark, d)
 
 
+def history_unpivot(spark, d):
+    return M.balances_as_of(spark, d, CUTOFF)
+
+
+def reconcile_as_of(spark, d):
+    """The leaf control as of a time, of which the ledger's side is that of a later one, so that amounts differ."""
+    later = M.balances_as_of(spark, d, LATER)
+    return M.leaf_reconcile(spark, d, later, CUTOFF)
+
+
 def as_of_version(spark, d):
     p = R.as_of(M.projection(spark, d), ["journal_id", "account_id", "currency"], "version", "recorded_at", F.lit(CUTOFF).cast("timestamp_ntz"))
     return p.select("journal_id", "account_id", "currency", "version", "settled_dr", "settled_cr", "pending_dr", "pending_cr")
@@ -79,6 +119,87 @@ def incremental_load(spark, d):
     return I.newer_than(e, I.watermarks(loaded)).select("id", "sequence", "event_type", "recorded_at")
 
 
+def reload_erased(spark, d):
+    """What a load takes besides: all events of ids that were erased, below their watermark too, up to a time."""
+    e = S.events(spark, d)
+    top = e.agg(F.max("recorded_at").alias("t")).first()["t"]
+    return I.newer_than(e, I.watermarks(e.where("value < 50")), again=e.where("event_type = 'error'"), until=top - dt.timedelta(days=1)).select("id", "sequence", "event_type")
+
+
+def _outbox(spark, d) -> DataFrame:
+    """The events as an outbox: signups announce sets, errors are placeholders, all others announce accounts."""
+    e = S.events(spark, d)
+    kind = F.when(F.col("event_type") == "signup", "account_set").otherwise("account")
+    body = F.concat(F.lit('{"type":"'), kind, F.lit('_updated","'), kind, F.lit('":{"id":"'), F.col("id"), F.lit('","name":"n'), J.json_string("event", "k"), F.lit('","metadata":{"k":'), J.json_string("event", "k"), F.lit("}}}"))
+    return e.select(F.col("outbox_sequence").alias("sequence"), F.when(F.col("event_type") != "error", body).alias("payload"), "recorded_at")
+
+
+def announced_ids(spark, d):
+    return E.announced(_outbox(spark, d))
+
+
+def outbox_range(spark, d):
+    """The outbox above the middle of its sequences, placeholders too."""
+    o = _outbox(spark, d)
+    half = o.agg((F.max("sequence") / 2).cast("bigint").alias("half")).first()["half"]
+    return E.outbox_above(o, half).select("sequence", F.col("payload").isNull().alias("is_placeholder"))
+
+
+def _landed(spark, d) -> dict[str, DataFrame]:
+    """Three copies of an account's values: its events, of which signups have no name, its state, and the outbox."""
+    e = S.events(spark, d)
+    k = J.json_string("event", "k")
+    name = F.when(F.col("event_type") == "signup", "null").otherwise(F.concat(F.lit('"n'), k, F.lit('"')))
+    doc = F.concat(F.lit('{"type":"'), F.col("event_type"), F.lit('","values":{"name":'), name, F.lit(',"units":'), k, F.lit(".500000000000000001}}"))
+    last = R.latest_per_key(e, ["id"], ["sequence"])
+    return {
+        "account_events": e.select("id", "sequence", "event_type", doc.alias("event"), "outbox_sequence"),
+        "accounts": last.select("id", F.concat(F.lit("n"), k).alias("name"), F.lit(None).cast("string").alias("external_id")),
+        "outbox": _outbox(spark, d),
+    }
+
+
+def _requests(spark, d) -> DataFrame:
+    """A request for each account with an error in its stream, and one for an account that isn't there."""
+    asked = S.events(spark, d).where("event_type = 'error'").select("id").distinct().unionByName(spark.createDataFrame([("U9999999999",)], "id string"))
+    nothing = F.lit(None).cast("string")
+    return asked.select(F.concat(F.lit("R-"), "id").alias("erasure_id"), F.lit("account").alias("entity_kind"), F.col("id").alias("entity_id"), F.lit("operator").alias("source"), F.lit("desk").alias("requested_by"), nothing.alias("reason"), nothing.alias("cascade_of"))
+
+
+_LOGGED = ["erasure_id", "source", "requested_by", "entity_kind", "entity_id", "table_name", "rows_matched", "rows_redacted"]
+
+
+def erasure_log(spark, d):
+    """What the log says after all requests have been applied to every copy."""
+    return X.applied(_landed(spark, d), _requests(spark, d), "run", dt.datetime(2020, 1, 1))[1].select(*_LOGGED)
+
+
+def erasure_reapply(spark, d):
+    """What a run logs that lands the upper half of the outbox and all state again, with values that had been erased."""
+    landed = _landed(spark, d)
+    half = landed["outbox"].agg((F.max("sequence") / 2).cast("bigint").alias("half")).first()["half"]
+    landed["outbox"], landed["account_events"] = landed["outbox"].where(F.col("sequence") > half), landed["account_events"].where(F.col("outbox_sequence") > half)
+    return X.applied(landed, _requests(spark, d), "run", dt.datetime(2020, 1, 1), again=True)[1].select(*_LOGGED)
+
+
+def _log(spark, d) -> DataFrame:
+    """The events as an erasure log: clicks are reapplications, the others requests of their id."""
+    e = S.events(spark, d)
+    nothing = F.lit(None).cast("string")
+    source = F.when(F.col("event_type") == "click", "reapply").when(F.col("event_type") == "signup", "forget_event").otherwise("operator")
+    return e.select(F.col("outbox_sequence").cast("string").alias("log_id"), F.concat(F.lit("R-"), "id", F.pmod(F.col("sequence"), F.lit(3)).cast("string")).alias("erasure_id"), F.col("recorded_at").alias("applied_at"), F.lit("run").alias("run_id"), source.alias("source"), F.concat(F.lit("by "), "event_type").alias("requested_by"), nothing.alias("reason"), F.lit("account").alias("entity_kind"), F.col("id").alias("entity_id"), nothing.alias("cascade_of"), F.concat(F.lit("t"), F.pmod(F.col("sequence"), F.lit(5)).cast("string")).alias("table_name"), nothing.alias("fields"), J.json_int("event", "k").alias("rows_matched"), J.json_int("event", "k").alias("rows_redacted"))
+
+
+def erasure_known(spark, d):
+    return X.known(_log(spark, d)).select("erasure_id", "entity_kind", "entity_id", "source")
+
+
+def forget_requests(spark, d):
+    """Requests that errors in the stream file, but for ids whose stream filed one before."""
+    log = _log(spark, d).where("entity_id < 'U0000000040'")
+    return X.forget_requests({"account_events": S.events(spark, d)}, log, ("error",)).select("entity_kind", "entity_id", "source", "requested_by", "reason")
+
+
 def outbox_gaps(spark, d):
     """Ranges of holes in the outbox without its errors."""
     return I.gaps(S.events(spark, d).where("event_type <> 'error'"), "outbox_sequence")
@@ -95,21 +216,29 @@ def anti_filed(spark, d):
     return R.first_per_key(e.where("event_type = 'error'").join(filed, "id", "left_anti"), ["id"], ["sequence"]).select("id", "sequence", "recorded_at")
 
 
-def erasure_redact(spark, d):
+def anti_filed_seeded(spark, d):
+    """The same where only signups of the largest values were filed."""
     e = S.events(spark, d)
-    return X.redact_events(e, e.where("event_type = 'error'").select("id").distinct(), ["k"]).select("outbox_sequence", "id", "event", "value", "redacted")
+    filed = e.where(F.col("event_type") == "signup").where(J.json_int("event", "k") > 90).select("id").distinct()
+    return R.first_per_key(e.where("event_type = 'error'").join(filed, "id", "left_anti"), ["id"], ["sequence"]).select("id", "sequence", "recorded_at")
+
+
+def erasure_redact(spark, d):
+    """The accounts' events after all requests; numbers keep their digits."""
+    e = _landed(spark, d)["account_events"]
+    hit = X.redacted(e, "account_events", X.wanted(_requests(spark, d)))
+    done = hit.withColumn("redacted", F.expr("aggregate(_found, 0L, (t, x) -> t + x.n)")).drop("_found")
+    return R.merge_on_key(e.withColumn("redacted", F.lit(0).cast("bigint")), done, ["id", "sequence"])
 
 
 def erasure_survivors(spark, d):
-    """Personal values left in the stream of erased ids if nothing had been redacted."""
-    e = S.events(spark, d)
-    return X.survivors(e, e.where("event_type = 'error'").select("id").distinct(), ["k"])
+    """Personal values that all copies, and a model, still have of erased ids if nothing had been redacted."""
+    landed = _landed(spark, d)
+    return X.survivors(landed | {"account:dim_accounts": landed["accounts"]}, _requests(spark, d))
 
 
 def erasure_summary(spark, d):
-    e = S.events(spark, d).where(F.col("event_type").isin("error", "signup"))
-    log = e.select(F.col("id").alias("erasure_id"), "recorded_at", "outbox_sequence", F.when(F.col("event_type") == "error", "operator").otherwise("reapply").alias("source"), J.json_int("event", "k").alias("rows_redacted"))
-    return X.summary(log)
+    return X.summary(_log(spark, d))
 
 
 def except_equality(spark, d):
@@ -164,6 +293,20 @@ def queries() -> dict:
         "sequence_gaps": sequence_gaps,
         "scd2_versions": scd2_versions,
         "scd2_single_current": scd2_single_current,
+        "scd2_current_seeded": scd2_current_seeded,
+        "debits_equal_credits_per_layer_seeded": per_layer_seeded,
+        "json_values": json_values,
+        "stream_totals": stream_totals,
+        "history_unpivot": history_unpivot,
+        "reconcile_as_of": reconcile_as_of,
+        "reload_erased": reload_erased,
+        "announced_ids": announced_ids,
+        "outbox_range": outbox_range,
+        "erasure_log": erasure_log,
+        "erasure_reapply": erasure_reapply,
+        "erasure_known": erasure_known,
+        "forget_requests": forget_requests,
+        "anti_filed_seeded": anti_filed_seeded,
         "latest_per_key": latest_per_key,
         "first_per_key": first_per_key,
         "json_extract": json_extract,

@@ -29,9 +29,78 @@ def optional(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def jdbc(spark: SparkSession, url: str, table: str, page: int = 5000, **options) -> DataFrame:
-    """One connection, hence one snapshot, read through a cursor of ``page`` rows."""
-    return spark.read.format("jdbc").options(url=url, dbtable=table, fetchsize=page, sessionInitStatement="set transaction isolation level repeatable read read only", **options).load()
+def jdbc(spark: SparkSession, url: str, table: str, page: int = 5000, init: str | None = None, **options) -> DataFrame:
+    """A table of a database, read through a cursor of ``page`` rows; ``init`` runs first on each connection."""
+    if init:
+        options["sessionInitStatement"] = init
+    return landed(spark.read.format("jdbc").options(url=url, dbtable=table, fetchsize=page, **options).load())
+
+
+class Snapshot:
+    """All tables of a PostgreSQL database as of one moment.
+
+    A transaction that is held open exports its snapshot, and every connection of every
+    read takes it on, so tables that are read at different times, in parallel and after
+    a lost executor, agree. ``close`` ends it.
+    """
+
+    def __init__(self, spark: SparkSession, url: str):
+        self.spark, self.url = spark, url
+        self._held = spark._jvm.java.sql.DriverManager.getConnection(url)
+        self._held.setAutoCommit(False)
+        ask = self._held.createStatement()
+        ask.execute("set transaction isolation level repeatable read read only")
+        got = ask.executeQuery("select pg_export_snapshot()")
+        got.next()
+        self.name = got.getString(1)
+
+    def table(self, name: str, page: int = 5000, **options) -> DataFrame:
+        init = f"set transaction isolation level repeatable read read only; set transaction snapshot '{self.name}'"
+        return jdbc(self.spark, self.url, name, page, init, **options)
+
+    def close(self) -> None:
+        self._held.close()
+
+
+def landed(df: DataFrame) -> DataFrame:
+    """Every column of a source as found, in the type that it lands in.
+
+    Integers become bigint, decimals exact, times naive UTC; a column without any value
+    is text. A type outside these families is an error, never a silent cast.
+    """
+    out = []
+    for f in df.schema:
+        kind, c = f.dataType, F.col(f"`{f.name}`")
+        if isinstance(kind, T.TimestampType):
+            c = F.to_utc_timestamp(c, F.current_timezone()).cast("timestamp_ntz")
+        elif isinstance(kind, T.ByteType | T.ShortType | T.IntegerType):
+            c = c.cast("bigint")
+        elif isinstance(kind, T.DecimalType):
+            c = c.cast(DECIMAL)
+        elif isinstance(kind, T.NullType | T.VarcharType | T.CharType):
+            c = c.cast("string")
+        elif not isinstance(kind, T.StringType | T.LongType | T.BooleanType | T.DateType | T.TimestampNTZType):
+            raise ValueError(f"no mapping for column {f.name!r} of type {kind.simpleString()}")
+        out.append(c.alias(f.name))
+    return df.select(*out)
+
+
+class Registry:
+    """Declared tables of a folder by name; one that isn't declared is an error, one that is optional may be absent."""
+
+    def __init__(self, spark: SparkSession, folder: str, names: tuple[str, ...], optional: dict[str, T.StructType] | None = None):
+        self.spark, self.folder, self.names, self.optional = spark, folder, names, optional or {}
+
+    def table(self, name: str) -> DataFrame:
+        if name in self.optional:
+            return optional(self.spark, f"{self.folder}/{name}.parquet", self.optional[name])
+        if name not in self.names:
+            raise KeyError(f"no table {name!r} is declared; there are {', '.join(sorted({*self.names, *self.optional}))}")
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+
+    def columns(self, name: str) -> dict[str, str]:
+        """The columns that the table has, with their types."""
+        return {f.name: f.dataType.simpleString() for f in self.table(name).schema}
 
 
 #: Column types of a source database by family.
@@ -77,28 +146,40 @@ def account_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(account_set_id, member_id, member_kind): nations hold accounts, regions nations, a root regions; a segment holds customers as well."""
+    """(account_set_id, member_id, member_kind, member_since): nations hold accounts, regions nations, a root regions; a segment holds customers as well.
+
+    The tables have no dates of membership, so one is made from the member's key.
+    """
     c, s = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
-    pair = lambda df, parent, child, kind: df.select(parent.alias("account_set_id"), child.alias("member_id"), F.lit(kind).alias("member_kind"))
+    since = lambda key: (F.lit("1992-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval((F.col(key) % 1000).cast("int"))).alias("member_since")
+    pair = lambda df, parent, child, kind, key: df.select(parent.alias("account_set_id"), child.alias("member_id"), F.lit(kind).alias("member_kind"), since(key))
     segment = F.concat(F.lit("G"), F.lpad(F.conv(F.substring(F.md5("c_mktsegment"), 1, 8), 16, 10), 10, "0"))
-    out = pair(c, padded("N", "c_nationkey", 10), padded("C", "c_custkey", 10), "account")
+    out = pair(c, padded("N", "c_nationkey", 10), padded("C", "c_custkey", 10), "account", "c_custkey")
     for more in (
-        pair(s, padded("N", "s_nationkey", 10), padded("S", "s_suppkey", 10), "account"),
-        pair(c, segment, padded("C", "c_custkey", 10), "account"),
-        pair(table(spark, sf_dir, "nation"), padded("R", "n_regionkey", 10), padded("N", "n_nationkey", 10), "account_set"),
-        pair(table(spark, sf_dir, "region"), F.lit("T0000000000"), padded("R", "r_regionkey", 10), "account_set"),
+        pair(s, padded("N", "s_nationkey", 10), padded("S", "s_suppkey", 10), "account", "s_suppkey"),
+        pair(c, segment, padded("C", "c_custkey", 10), "account", "c_custkey"),
+        pair(table(spark, sf_dir, "nation"), padded("R", "n_regionkey", 10), padded("N", "n_nationkey", 10), "account_set", "n_nationkey"),
+        pair(table(spark, sf_dir, "region"), F.lit("T0000000000"), padded("R", "r_regionkey", 10), "account_set", "r_regionkey"),
     ):
         out = out.unionByName(more)
     return out
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines with the account's journal; the columns that entries need, no others."""
-    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
+def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their customer's region, null where the customer is unknown."""
     n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
-    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey").join(n, "c_nationkey").drop("c_nationkey")
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey").join(n, "c_nationkey", "left").drop("c_nationkey")
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate").join(c, "o_custkey", "left")
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with the account's journal; the columns that entries need, no others.
+
+    Customers meet the orders first, so lines are shuffled once, by order, and stay in
+    that partitioning. A line without its order stays, with nulls.
+    """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_extendedprice", "l_quantity", "l_shipdate")
-    return li.join(o, "l_orderkey").join(c, "o_custkey")
+    return li.join(orders(spark, sf_dir), "l_orderkey", "left")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

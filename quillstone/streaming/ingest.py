@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillstone.operators.relational import merge_on_key
+from quillstone.operators.relational import latest_per_key, merge_on_key
 
 
 def watermarks(loaded: DataFrame, key: str = "id", sequence: str = "sequence") -> DataFrame:
@@ -17,8 +17,13 @@ def watermarks(loaded: DataFrame, key: str = "id", sequence: str = "sequence") -
     return loaded.groupBy(key).agg(F.max(sequence).alias("_max"))
 
 
-def newer_than(events: DataFrame, marks: DataFrame, key: str = "id", sequence: str = "sequence", again: DataFrame | None = None) -> DataFrame:
-    """Events above their id's watermark; a new id has none. ``again``: ids to load whole, as an erasure changed them."""
+def newer_than(events: DataFrame, marks: DataFrame, key: str = "id", sequence: str = "sequence", again: DataFrame | None = None, until=None, recorded_at: str = "recorded_at") -> DataFrame:
+    """Events above their id's watermark; a new id has none.
+
+    ``again``: ids to load whole, as an erasure changed them. ``until``: only events recorded by then.
+    """
+    if until is not None:
+        events = events.where(F.col(recorded_at) <= F.lit(until).cast("timestamp_ntz"))
     out = events.join(marks, key, "left")
     fresh = F.col(sequence) > F.coalesce("_max", F.lit(0))
     if again is not None:
@@ -74,21 +79,16 @@ def resolve_watermark(start: int, highest: int, missing: Iterable[tuple[int, int
     return Advance(max(start, highest), None, out.abandoned)
 
 
-@dataclass
-class RunSummary:
-    started_at: int
-    advance: Advance
-    rows: dict[str, int] = field(default_factory=dict)
-
-    def verify(self, expected: dict[str, int]) -> dict[str, tuple[int, int]]:
-        """Tables whose number of rows differs from the source's: (expected, got)."""
-        return {t: (n, self.rows.get(t, 0)) for t, n in expected.items() if self.rows.get(t, 0) != n}
+class Conflict(RuntimeError):
+    """Another writer has made the version that this one was to be."""
 
 
 class VersionedTable:
-    """A Parquet table whose versions are folders and whose pointer is replaced last.
+    """A Parquet table whose versions are folders, each made current by a marker that is created last.
 
-    A run that dies leaves the old version in place; readers of it are not disturbed.
+    A run that dies leaves the old version in place; readers of it are not disturbed. A
+    marker is created only if there is none of its number, so of two writers that began
+    from the same version one fails and loses nothing of the other's.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -97,12 +97,25 @@ class VersionedTable:
         self._path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
         self._fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def _current(self) -> str | None:
+    def _marks(self) -> list[str]:
         marks = self._path(f"{self.path}/_versions")
-        if not self._fs.exists(marks):
-            return None
-        names = sorted(s.getPath().getName() for s in self._fs.listStatus(marks))
-        return names[-1] if names else None
+        return sorted((m.getPath().getName() for m in self._fs.listStatus(marks)), reverse=True) if self._fs.exists(marks) else []
+
+    def _at(self) -> tuple[int, str | None]:
+        """The number of the last version and the folder of the current one; a marker that was never filled is passed over."""
+        marks = self._marks()
+        for name in marks:
+            path = self._path(f"{self.path}/_versions/{name}")
+            if self._fs.getFileStatus(path).getLen():
+                mark = self._fs.open(path)
+                try:
+                    return int(marks[0]), mark.readUTF()
+                finally:
+                    mark.close()
+        return int(marks[0]) if marks else 0, None
+
+    def _current(self) -> str | None:
+        return self._at()[1]
 
     def exists(self) -> bool:
         return self._current() is not None
@@ -113,35 +126,44 @@ class VersionedTable:
             raise FileNotFoundError(self.path)
         return self.spark.read.parquet(f"{self.path}/{now}")
 
-    def replace(self, df: DataFrame) -> None:
-        n = int(self._current().split("-")[0]) + 1 if self.exists() else 1
-        name = f"{n:012d}-{uuid.uuid4().hex}"
+    def replace(self, df: DataFrame, after: int | None = None) -> None:
+        """Make ``df`` the table. ``after``: the version that it was made from, by default the current one."""
+        after = self._at()[0] if after is None else after
+        name = f"{after + 1:012d}-{uuid.uuid4().hex}"
         df.write.parquet(f"{self.path}/{name}")
         self._fs.mkdirs(self._path(f"{self.path}/_versions"))
-        self._fs.create(self._path(f"{self.path}/_versions/{name}")).close()
+        try:
+            mark = self._fs.create(self._path(f"{self.path}/_versions/{after + 1:012d}"), False)
+        except Exception as e:
+            self._fs.delete(self._path(f"{self.path}/{name}"), True)
+            raise Conflict(f"{self.path} has a version {after + 1} by another writer") from e
+        mark.writeUTF(name)
+        mark.close()
 
     def merge(self, new: DataFrame, keys: list[str], load_id: str | None = None) -> None:
         """Rows of ``new`` replace those of equal key; tables without our load column are refused."""
         new = new.withColumn("_load_id", F.lit(load_id or uuid.uuid4().hex))
+        after = self._at()[0]
         if self.exists():
             old = self.read()
             if "_load_id" not in old.columns:
                 raise ValueError(f"{self.path} was not written by this loader; refresh it whole to load over it")
             new = merge_on_key(old, new, keys)
-        self.replace(new)
+        self.replace(new, after)
 
     def drop(self) -> None:
         self._fs.delete(self._path(self.path), True)
 
 
-def stream_into(target: VersionedTable, source: DataFrame, keys: list[str], checkpoint: str) -> None:
+def stream_into(target: VersionedTable, source: DataFrame, keys: list[str], checkpoint: str, order: list[str] | None = None) -> None:
     """Load everything that a streaming ``source`` has now, once, by idempotent merges.
 
-    Batches that are repeated after a failure merge to the same table.
+    Batches that are repeated after a failure merge to the same table. Of a batch's rows
+    of equal keys the last in ``order`` stays; of those that it can't tell apart, always the same.
     """
 
     def batch(df: DataFrame, epoch: int) -> None:
         if not df.isEmpty():
-            target.merge(df.dropDuplicates(keys), keys, f"batch-{epoch}")
+            target.merge(latest_per_key(df, keys, [*(order or []), F.xxhash64(*df.columns)]), keys, f"batch-{epoch}")
 
     source.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -4,12 +4,12 @@ import datetime as dt
 import decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from quillstone.functions import jsonx as J
 from quillstone.operators import relational as R
 from quillstone.plans import marts as M
 from quillstone.sources import tables as S
-from quillstone.streaming import erasure as X
 from quillstone.streaming import ingest as I
 
 SF = "/root/testdata/sf0.001"
@@ -43,9 +43,14 @@ def test_closure_diamond_cycle_and_prefix_ids(spark):
 
 
 def test_closure_deep(spark):
-    e = spark.createDataFrame([(f"s{i}", f"s{i + 1}", "account_set") for i in range(18)], "account_set_id string, member_id string, member_kind string")
-    got = M.closure(e)
-    assert got.count() == 18 * 19 // 2 and got.agg({"depth": "max"}).first()[0] == 18
+    """Deeper than any fixed number of levels is not needed to see that none is built in; dates go along the path."""
+    kind = "account_set_id string, member_id string, member_kind string, member_since timestamp_ntz"
+    at = [dt.datetime(2020, 1, 1 + (7 * i) % 20) for i in range(19)]
+    e = spark.createDataFrame([(f"s{i}", f"s{i + 1}", "account_set", at[i]) for i in range(18)] + [("s18", "x", "account", at[18])], kind)
+    got = M.closure(e).collect()
+    assert len(got) == 18 * 19 // 2 + 19 and max(r.depth for r in got) == 19
+    assert all(r.member_since == max(at[int(r.path[1:].split("/")[0]) :][: r.depth]) for r in got)
+    assert M.closure(e.limit(0)).count() == 0
 
 
 def test_balances_agree_two_ways(spark):
@@ -62,6 +67,29 @@ def test_trial_balance_of_the_end_is_of_now(spark):
     assert rows(M.trial_balance(spark, SF, journal="J0001")) == [r for r in now if r[0] == "J0001"]
 
 
+def test_controls_find_drift_of_a_given_projection(spark):
+    own = M.persisted_balances(spark, SF)
+    first = own.where("dr_balance > 0").orderBy(*M.GRAIN).first()
+    drift = own.withColumn("dr_balance", F.when((F.col("account_id") == first.account_id) & (F.col("currency") == first.currency) & (F.col("layer") == first.layer), F.col("dr_balance") + 1).otherwise(F.col("dr_balance")).cast(M.DEC))
+    bad = M.leaf_reconcile(spark, SF, drift).where("status not like 'ok%'").collect()
+    assert [(r.account_id, r.status) for r in bad] == [(first.account_id, "amount_mismatch")]
+    assert {r.status for r in M.set_reconcile(spark, SF, drift).where("status not like 'ok%'").collect()} == {"amount_mismatch"}
+
+
+def test_lines_without_an_order_stay(spark, tmp_path):
+    for name in ("lineitem", "orders", "customer", "nation", "region", "supplier"):
+        df = spark.read.parquet(f"{SF}/{name}.parquet")
+        (df.where("o_orderkey > 10") if name == "orders" else df).write.parquet(f"{tmp_path}/{name}.parquet")
+    whole, held = M.fct_entries(spark, SF).count(), M.fct_entries(spark, str(tmp_path))
+    assert held.count() == whole and held.where("journal_id is null").count() > 0
+
+
+def test_running_totals_over_years(spark):
+    rows = [("a", dt.datetime(2018 + i // 3, 1 + i % 3, 1), i, f"e{i}", D(i + 1)) for i in range(10)] + [("b", dt.datetime(2019, 1, 1), 0, "f", D(5))]
+    got = M.running(spark.createDataFrame(rows, "k string, recorded_at timestamp_ntz, entry_sequence int, entry_id string, x decimal(38,18)"), ["k"], ["x"], "at")
+    assert sorted((r.k, r.at, r.x, r._total) for r in got.collect()) == [("a", i + 1, D((i + 1) * (i + 2) // 2), 10) for i in range(10)] + [("b", 1, D(5), 1)]
+
+
 def test_reconcile_statuses(spark):
     kind = "journal_id string, dr_balance decimal(38,18), cr_balance decimal(38,18)"
     a = spark.createDataFrame([("ok", D(1), D(0)), ("zero", D(0), D(0)), ("lost", D(1), D(0)), ("off", D(1), D(0))], kind)
@@ -89,6 +117,25 @@ def test_foreign_table_is_refused(spark, tmp_path):
         table.merge(spark.range(3), ["id"])
 
 
+def test_of_two_writers_one_fails(spark, tmp_path):
+    table, other = (I.VersionedTable(spark, f"file://{tmp_path}/t") for _ in range(2))
+    table.merge(spark.range(3), ["id"])
+    base = other._at()[0]
+    table.merge(spark.range(3, 6), ["id"])
+    with pytest.raises(I.Conflict):
+        other.replace(spark.range(9), base)
+    assert rows(table.read().select("id")) == [(i,) for i in range(6)]
+
+
+def test_reload_of_erased_ids_and_a_bound(spark):
+    at = [dt.datetime(2020, 1, d) for d in (1, 2, 3)]
+    ev = spark.createDataFrame([(i, s + 1, at[s]) for i in "ab" for s in range(3)], "id string, sequence long, recorded_at timestamp_ntz")
+    marks = I.watermarks(ev.where("sequence < 3"))
+    again = spark.createDataFrame([("b",)], "id string")
+    assert rows(I.newer_than(ev, marks, again=again).select("id", "sequence")) == [("a", 3), ("b", 1), ("b", 2), ("b", 3)]
+    assert rows(I.newer_than(ev, marks, again=again, until=at[1]).select("id", "sequence")) == [("b", 1), ("b", 2)]
+
+
 def test_stream_loads_once(spark, tmp_path):
     src = f"{tmp_path}/src"
     df = spark.range(10).selectExpr("id", "id * 2 as v")
@@ -114,21 +161,55 @@ def test_watermark():
     assert I.resolve_watermark(0, 9, [(4, 6)], lambda: True, lambda lo, hi: [(6, 6)]) == I.Advance(5, 6, [(4, 5)])
 
 
-def test_redaction(spark):
-    assert X.redact('{"z":1,"values":{"name":"Zoë","units":"1.50"}}', ["values.name", "values.absent"]) == ('{"z":1,"values":{"name":null,"units":"1.50"}}', 1)
-    assert X.redact('{"values":null}', ["values.name"]) == ('{"values":null}', 0)
-    df = spark.createDataFrame([("a", '{"k":"x"}'), ("b", '{"k":"y"}'), ("a", None)], "id string, event string")
-    erased = spark.createDataFrame([("a",)], "id string")
-    got = X.redact_events(df, erased, ["k"])
-    assert sorted(map(tuple, got.select("id", "event", "redacted").collect()), key=str) == [("a", '{"k":null}', 1), ("a", None, 0), ("b", '{"k":"y"}', 0)]
-    assert X.survivors(got, erased, ["k"]).count() == 0 and X.survivors(df, erased, ["k"]).count() == 1
-
-
 def test_csv_keeps_empty_strings_apart_from_nulls(spark, tmp_path):
     (tmp_path / "a.csv").write_text('a,b\n1,""\n2,\n')
     assert rows(S.csv(spark, str(tmp_path / "a.csv"), "a int, b string").where("b is not null")) == [(1, "")]
 
 
+def test_the_last_row_of_a_batch_stays(spark, tmp_path):
+    src = f"{tmp_path}/src"
+    df = spark.createDataFrame([(1, 5, "old"), (1, 9, "new"), (1, 7, "mid")], "id int, at int, v string")
+    df.repartition(3).write.parquet(src)
+    table = I.VersionedTable(spark, f"file://{tmp_path}/t")
+    I.stream_into(table, spark.readStream.schema(df.schema).parquet(src), ["id"], f"{tmp_path}/cp", ["at"])
+    assert [r.v for r in table.read().collect()] == ["new"]
+
+
+def test_landed_types(spark):
+    df = spark.sql("select cast(1 as int) i, cast(2 as smallint) s, cast(1.5 as decimal(5,2)) d, timestamp'2020-01-01 10:00:00' t, null n, 'x' c, true b")
+    got = S.landed(df)
+    assert [t for _, t in got.dtypes] == ["bigint", "bigint", "decimal(38,18)", "timestamp_ntz", "string", "string", "boolean"]
+    assert got.first().t == dt.datetime(2020, 1, 1, 10)
+    with pytest.raises(ValueError):
+        S.landed(spark.sql("select array(1) a"))
+
+
+def test_jdbc_reads_a_database(spark, tmp_path):
+    """Through the database that comes with Spark."""
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    spark._jvm.java.lang.Class.forName("org.apache.derby.jdbc.EmbeddedDriver")
+    conn = spark._jvm.java.sql.DriverManager.getConnection(url)
+    conn.createStatement().execute("create table t (id int, amount decimal(20, 4), name varchar(9))")
+    conn.createStatement().execute("insert into t values (1, 1.5, 'a'), (2, null, null)")
+    conn.close()
+    got = S.jdbc(spark, url, "t", driver="org.apache.derby.jdbc.EmbeddedDriver")
+    assert [t for _, t in got.dtypes] == ["bigint", "decimal(38,18)", "string"] and sorted(tuple(r) for r in got.where("id = 1").collect()) == [(1, D("1.5"), "a")]
+
+
+def test_declared_tables(spark):
+    r = S.Registry(spark, SF, ("region",), {"erasure_log": S.EVENT})
+    assert r.table("region").count() == 5 and r.table("erasure_log").count() == 0 and r.columns("region")["r_name"] == "string"
+    with pytest.raises(KeyError):
+        r.table("nation")
+
+
+def test_decimals_of_json_that_are_none(spark):
+    df = spark.createDataFrame([("{",), ('{"a": null}',), ("{}",), (None,)], "e string")
+    assert [r[0] for r in df.select(J.json_decimal("e", "a")).collect()] == [None] * 4
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|cannot be cast"):
+        spark.createDataFrame([('{"a": "x"}',)], "e string").select(J.json_decimal("e", "a")).collect()
+
+
 def test_optional_source_and_types(spark, tmp_path):
     assert S.optional(spark, f"file://{tmp_path}/none", S.EVENT).count() == 0
     with pytest.raises(ValueError):
