@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.llm import decontam, neartext, packing, toxicity
-from quillstone.llm.common import stash
+from quillstone.llm.common import gapless, stash
 
 #: Scores from here on are rejected.
 TOXIC = 0.7
@@ -25,7 +25,11 @@ def unused(docs: DataFrame, name: str) -> str:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose text scores below TOXIC, by a model fitted on the labels that may be learned from."""
+    """Rows whose text scores below TOXIC, by a model fitted on the labels that may be learned from.
+
+    Null and empty texts have no evidence and stay; repeated rows and null ids are scored
+    like any other, and columns of any name stay. No rows give no rows.
+    """
     scorer = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     score = unused(docs, "_toxic_score")
     scored = toxicity.with_score(docs, scorer, out=score)
@@ -33,22 +37,27 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates: of smallest id, or any one where ids are null or repeat."""
+    """One document of each class of near duplicates: that of smallest id.
+
+    Where ids are null or repeat, rows are numbered by id, nulls first, and a hash of all
+    their columns, and the first of a class stays. Texts without words are one class.
+    Columns of any name stay. No rows give no rows.
+    """
     key = "doc_id"
     if docs.where("doc_id is null").limit(1).count() or docs.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        key = unused(docs, "_key")
-        docs = stash(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+        key, row = unused(docs, "_key"), F.struct(*[docs[c] for c in docs.columns])
+        docs = gapless(docs.select(row.alias("row"), docs["doc_id"].alias("id"), F.xxhash64(F.to_json(row)).alias("hash")), [], ["id", "hash"], "n", "keyed").select("row.*", F.col("n").alias(key))
     kept = neartext.near_texts(docs, id_col=key).where("id = component").select("id")
     return docs.join(kept, docs[key] == kept.id, "left_semi").select(*(c for c in docs.columns if c != key or key == "doc_id"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows into which no benchmark item leaks."""
+    """Rows into which no benchmark item leaks; nulls, empty texts and repeated rows as in ``decontam.without_leaks``."""
     return decontam.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document in its sequence."""
+    """Every piece of every document in its sequence; nulls, empty texts and repeated rows as in ``packing.pieces`` and ``packing.pack``."""
     return packing.pack(stash(packing.pieces(docs), "pieces"))
 
 

@@ -111,7 +111,8 @@ class Landing:
         if requests.isEmpty():
             return self.log().where("false")
         when = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        relations = {n: self.read(n, None if n in STATES else load_id) for n in self.names()}
+        kinds = {r.kind for r in X.wanted(requests).select("kind").distinct().collect()}
+        relations = {n: self.read(n, None if n in STATES else load_id) for n in self.names() if any(p.relation == n and p.kind in kinds for p in X.PLACES)}
         hits, _ = X.applied(relations, requests, run_id, when, again)
         work = f"{self.folder}/work/{uuid.uuid4().hex}"
         touched = self.spark.createDataFrame([], "kind string, entity_id string, table_name string, rows_matched bigint, rows_redacted bigint")
@@ -146,6 +147,8 @@ class Landing:
 
     def reapply(self, run_id: str, load_id: str | None = None) -> DataFrame:
         """Apply the standing requests again, to what a load has written or to all."""
+        if self.log().isEmpty():
+            return self.log()
         return self.apply(self._settled(X.known(self.log())), run_id, load_id, again=True)
 
     def honour(self, run_id: str, load_id: str, types: Sequence[str] = X.FORGET_EVENTS) -> DataFrame:
@@ -195,6 +198,9 @@ def run(source: Source, landing: Landing, full_refresh: bool = False, verify: bo
         rows = landed(source.table(name))
         if before:  # the first load is one scan of the whole stream
             rows = rows.join(told.where(F.col("stream") == name).select("id"), "id", "left_semi")
+        if landing.table(name).exists() and rows.isEmpty():
+            loaded[name] = 0
+            continue
         landing.table(name).merge(rows, ["id", "sequence"], load)
         loaded[name] = landing.read(name, load).count()
     for name in states:
