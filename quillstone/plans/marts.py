@@ -79,10 +79,11 @@ def transactions(legs: DataFrame, key: str) -> DataFrame:
     the accounts distinct; all that follows has the transaction's partitioning.
     """
     each = legs.groupBy(key, "currency", "layer", "account_id").agg(F.sum("debit_units").alias("d"), F.sum("credit_units").alias("c"), F.count(F.lit(1)).alias("n"), F.max("journal").alias("journal"))
-    by = each.groupBy(key, "currency").agg(F.sum("d").alias("d"), F.sum("c").alias("c"), F.sum("n").alias("n"), F.max("journal").alias("journal"), F.collect_set("layer").alias("layers"))
-    whole = by.groupBy(key).agg(F.max("journal").alias("journal"), F.sum("n").alias("entry_count"), F.count("currency").alias("currency_count"), F.size(F.array_distinct(F.flatten(F.collect_list("layers")))).alias("layer_count"), F.bool_and(F.col("d") == F.col("c")).alias("is_balanced"))
-    accounts = each.groupBy(key).agg(F.count_distinct("account_id").alias("account_count"))
-    return whole.join(accounts, key)
+    # an account counts where it comes first
+    nth = F.row_number().over(Window.partitionBy(key, "account_id").orderBy("currency", "layer"))
+    each = each.withColumn("accounts", F.when((nth == 1) & F.col("account_id").isNotNull(), 1).otherwise(0))
+    by = each.groupBy(key, "currency").agg(F.sum("d").alias("d"), F.sum("c").alias("c"), F.sum("n").alias("n"), F.max("journal").alias("journal"), F.sum("accounts").alias("accounts"), F.collect_set("layer").alias("layers"))
+    return by.groupBy(key).agg(F.max("journal").alias("journal"), F.sum("n").alias("entry_count"), F.count("currency").alias("currency_count"), F.size(F.array_distinct(F.flatten(F.collect_list("layers")))).alias("layer_count"), F.sum("accounts").alias("account_count"), F.bool_and(F.col("d") == F.col("c")).alias("is_balanced"))
 
 
 def fct_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
