@@ -18,8 +18,10 @@ left between different components is all verified in the end.
 The trees may miss a pair and a forest may hold edges that fail, so they only make the
 classes that are cheap to find. A prefix filter then completes them: shingles have a
 fixed order, common ones last, and two texts at the threshold share one of the first
-n - ceil(threshold n) + 1 of their n shingles. All pairs of texts of different classes
-that do, and whose shared shingles and those behind them can add up to the threshold,
+n - ceil(threshold n) + 1 of their n shingles. Of two texts that do, the first shingles
+of the one whose first shingles end earlier are then all accounted for: what is shared
+among them is known, and only what stands behind them can still be shared. All pairs of
+texts of different classes for which that can add up to the threshold
 are verified. The result is that of all pairs, whatever the trees, sketches and bands.
 """
 
@@ -75,21 +77,32 @@ def shape(texts: int) -> tuple[int, int, int]:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, lanes: int) -> DataFrame:
-    """(id, lo, hi, sketch) for each row; lo and hi are a digest of the set of shingles, 0 without words."""
+    """(id, lo, hi, sketch, at, n) for each row, at and n null; lo and hi are a digest of the set of shingles, 0 without words.
+
+    Each task adds rows (at, n) with its counts of groups of shingle values, where they
+    are often: see ``common_shingles``.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
+    names = ["id", "lo", "hi", "sketch", "at", "n"]
 
     def run(batches):
-        hasher = Hasher(width)
+        hasher, total, id_type = Hasher(width), np.zeros(COUNTERS, np.int64), None
         for batch in batches:
-            lo, hi, out = np.zeros(batch.num_rows, np.uint64), np.zeros(batch.num_rows, np.uint64), []
+            lo, hi, out, id_type = np.zeros(batch.num_rows, np.uint64), np.zeros(batch.num_rows, np.uint64), [], batch.column(0).type
             for i, text in enumerate(batch.column(1)):
                 words = words_of(text.as_py())
                 values = np.unique(hasher(words, min(width, len(words)))) if words else np.empty(0, np.uint64)
                 lo[i], hi[i] = np.bitwise_xor.reduce(values), values.sum(dtype=np.uint64)
+                np.add.at(total, (values % np.uint64(COUNTERS)).astype(np.int64), 1)
                 out.append(sketch(values, lanes))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lo.view(np.int64)), pa.array(hi.view(np.int64)), pa.array(out, pa.binary())], names=["id", "lo", "hi", "sketch"])
+            none = pa.nulls(batch.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lo.view(np.int64)), pa.array(hi.view(np.int64)), pa.array(out, pa.binary()), none, none], names=names)
+        often = np.flatnonzero(total > max(LEAST, HEAVY * total.mean()))
+        if len(often):
+            n = len(often)
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, id_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(often), pa.array(total[often])], names=names)
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, lo long, hi long, sketch binary")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, lo long, hi long, sketch binary, at long, n long")
 
 
 def _rows(column: pa.Array, size: int) -> np.ndarray:
@@ -238,60 +251,62 @@ def verified(edges: DataFrame, texts: DataFrame, width: int, threshold: float) -
     """The edges (a, b) whose texts' shingles have a Jaccard similarity of at least ``threshold``."""
 
     def run(batches):
+        last, held = None, set()
         for batch in batches:
             good = []
             for one, two in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = shingles_of(words_of(one.as_py()), width), shingles_of(words_of(two.as_py()), width)
-                shared = len(x & y)
-                good.append(shared >= threshold * (len(x) + len(y) - shared) - 1e-9)
+                one = one.as_py()
+                if one != last:  # the edges of a text mostly come together
+                    last, held = one, shingles_of(words_of(one), width)
+                y = shingles_of(words_of(two.as_py()), width)
+                shared = len(held & y)
+                good.append(shared >= threshold * (len(held) + len(y) - shared) - 1e-9)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     one = texts.select(F.col("id").alias("a"), F.col("text").alias("one"))
     two = texts.select(F.col("id").alias("b"), F.col("text").alias("two"))
-    return edges.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "one", "two").mapInArrow(run, "a long, b long").distinct()
+    return edges.select("a", "b").join(two, "b").join(one, "a").select("a", "b", "one", "two").mapInArrow(run, "a long, b long").distinct()
 
 
-def common_shingles(docs: DataFrame, width: int) -> np.ndarray:
+def common_shingles(marks: DataFrame) -> np.ndarray:
     """A count for each of COUNTERS groups of shingle values, 0 unless a task has the group often. It only orders shingles."""
-
-    def run(batches):
-        hasher, total = Hasher(width), np.zeros(COUNTERS, np.int64)
-        for batch in batches:
-            for text in batch.column(1):
-                words = words_of(text.as_py())
-                if words:
-                    np.add.at(total, (np.unique(hasher(words, min(width, len(words)))) % np.uint64(COUNTERS)).astype(np.int64), 1)
-        often = np.flatnonzero(total > max(LEAST, HEAVY * total.mean()))
-        yield pa.RecordBatch.from_arrays([pa.array(often), pa.array(total[often])], names=["at", "n"])
-
-    rows = docs.select("id", "text").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    rows = marks.where("at is not null").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     count_of = np.zeros(COUNTERS, np.int64)
     count_of[rows["at"].to_numpy()] = rows["n"].to_numpy()
     return count_of
 
 
-def prefixes(texts: DataFrame, width: int, threshold: float) -> DataFrame:
-    """(shingle, id, n, place): the first shingles of each text (id, text), rare ones first, of which a near duplicate holds one."""
-    sent = texts.sparkSession.sparkContext.broadcast(common_shingles(texts, width))
+def prefixes(texts: DataFrame, common: np.ndarray, width: int, threshold: float) -> DataFrame:
+    """(shingle, c, id, n, end) : the first shingles of each text (id, text, c), rare ones first, of which a near duplicate holds one.
+
+    ``n`` is the number of all its shingles, ``end`` where the first ones end in the order
+    of all shingles: a count and the leading bits of a value.
+    """
+    sent = texts.sparkSession.sparkContext.broadcast(np.minimum(common, (1 << 20) - 1).astype(np.uint64) << np.uint64(43))
+    names = ["shingle", "c", "id", "n", "end"]
 
     def run(batches):
         hasher = Hasher(width)
         for batch in batches:
-            held, rows, sizes, places = [], [], [], []
+            held, rows, sizes, ends = [], [], [], []
             for i, text in enumerate(batch.column(1)):
                 words = words_of(text.as_py())
                 if not words:
                     continue
                 values = np.unique(hasher(words, min(width, len(words))))
-                first = signature_size(len(values), threshold)
-                held.append(values[np.argsort(sent.value[(values % np.uint64(COUNTERS)).astype(np.int64)], kind="stable")[:first]])
-                rows.append(np.full(first, i))
-                sizes.append(np.full(first, len(values), np.int32))
-                places.append(np.arange(first, dtype=np.int32))
+                place = sent.value[(values % np.uint64(COUNTERS)).astype(np.int64)] | values >> np.uint64(21)
+                first = np.argsort(place, kind="stable")[: signature_size(len(values), threshold)]
+                held.append(values[first])
+                rows.append(i)
+                sizes.append(len(values))
+                ends.append(place[first[-1]])
             if held:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(held).view(np.int64)), batch.column(0).take(pa.array(np.concatenate(rows))), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(places))], names=["shingle", "id", "n", "place"])
+                times = np.array([len(x) for x in held])
+                each = pa.array(np.repeat(rows, times))
+                last = np.repeat(np.array(ends, np.uint64), times).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(held).view(np.int64)), batch.column(2).take(each), batch.column(0).take(each), pa.array(np.repeat(np.array(sizes, np.int32), times)), pa.array(last)], names=names)
 
-    return texts.select("id", "text").mapInArrow(run, "shingle long, id long, n int, place int")
+    return texts.select("id", "text", "c").mapInArrow(run, "shingle long, c long, id long, n int, end long")
 
 
 def _across(shingle: np.ndarray, cell: np.ndarray, klass: np.ndarray):
@@ -317,23 +332,24 @@ def _across(shingle: np.ndarray, cell: np.ndarray, klass: np.ndarray):
         at = to
 
 
-def missing(texts: DataFrame, classes: DataFrame, width: int, threshold: float, limit: int = CELL) -> DataFrame:
-    """(a, b, h, ca, cb): all pairs of different classes that the prefix filter can't rule out; the lower h, the more first shingles are shared."""
-    rows = stash(prefixes(texts, width, threshold), "prefixes")
-    held = rows.join(classes.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
-    sizes = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), (F.min("c") != F.max("c")).alias("several"))
-    sizes = stash(sizes.where("several").select("shingle", "n"), "shared")
-    rows = in_cells(held.join(sizes.select("shingle"), "shingle", "left_semi"), sizes, "shingle", "id", limit)
-    rows = rows.select("shingle", "cell", "c", "id", "n", "place").repartition("shingle", "cell").sortWithinPartitions("shingle", "cell", "c")
-    names = ["a", "b", "ca", "cb", "na", "nb", "pa", "pb"]
+def missing(texts: DataFrame, common: np.ndarray, width: int, threshold: float, limit: int = CELL) -> DataFrame:
+    """(a, b, h, ca, cb): all pairs of texts (id, text, c) of different classes c that the prefix filter can't rule out; the lower h, the more first shingles are shared."""
+    rows = stash(prefixes(texts, common, width, threshold), "prefixes")
+    sizes = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    rows = in_cells(rows, sizes, "shingle", "id", limit)
+    rows = rows.select("shingle", "cell", "c", "id", "n", "end").repartition("shingle", "cell").sortWithinPartitions("shingle", "cell", "c")
+    names = ["a", "b", "ca", "cb", "na", "nb", "rest"]
 
-    def search(shingle, cell, c, rep, n, place):
+    def search(shingle, cell, c, rep, n, end):
+        behind = (np.ceil(np.round(threshold * n, 9)) - 1).astype(np.int32)  # shingles that aren't among the first
         for i, j in _across(shingle, cell, c):
             near = (n[i] >= threshold * n[j] - 1e-9) & (n[j] >= threshold * n[i] - 1e-9)
             i, j = i[near], j[near]
             i, j = np.where(rep[i] < rep[j], i, j), np.where(rep[i] < rep[j], j, i)
             if len(i):
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (rep[i], rep[j], c[i], c[j], n[i], n[j], place[i], place[j])], names=names)
+                # ends alike may be those of two shingles, of which either may come first
+                rest = np.where(end[i] == end[j], np.maximum(behind[i], behind[j]), np.where(end[i] < end[j], behind[i], behind[j]))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (rep[i], rep[j], c[i], c[j], n[i], n[j], rest)], names=names)
 
     def run(batches):
         rest = None
@@ -350,26 +366,24 @@ def missing(texts: DataFrame, classes: DataFrame, width: int, threshold: float,
         if rest is not None:
             yield from search(*rest)
 
-    found = rows.mapInArrow(run, "a long, b long, ca long, cb long, na int, nb int, pa int, pb int")
-    pairs = found.groupBy("a", "b", "ca", "cb", "na", "nb").agg(F.count(F.lit(1)).cast("int").alias("shared"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
-    # what is shared up to the last shared first shingle, and all behind it
-    most = F.col("shared") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
-    pairs = pairs.where(most >= threshold / (1 + threshold) * (F.col("na") + F.col("nb")) - 1e-6)
+    found = rows.mapInArrow(run, "a long, b long, ca long, cb long, na int, nb int, rest int")
+    pairs = found.groupBy(*names).agg(F.count(F.lit(1)).cast("int").alias("shared"))
+    pairs = pairs.where(F.col("shared") + F.col("rest") >= threshold / (1 + threshold) * (F.col("na") + F.col("nb")) - 1e-6)
     return pairs.select("a", "b", (-F.col("shared")).alias("h"), "ca", "cb")
 
 
-def grown(linked: DataFrame | None, edges: DataFrame, docs: DataFrame, width: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+def grown(linked: DataFrame | None, edges: DataFrame, docs: DataFrame, width: int, threshold: float, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """(links, classes) after all edges (a, b, h, ca, cb) between different classes have been verified, or joined by others."""
     ends = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = stash(docs.join(ends, "id", "left_semi").dropDuplicates(["id", "text"]), "ends")
     for turn in count():
         each = edges.select("ca", "cb", "h", "a", "b")
         sides = each.select(F.col("ca").alias("c"), "h", "a", "b").unionByName(each.select(F.col("cb").alias("c"), "h", "a", "b"))
-        todo = stash(sides.groupBy("c").agg(F.min(F.struct("h", "a", "b")).alias("e")).select("e.a", "e.b").distinct() if turn < ROUNDS else each.select("a", "b"), "tried")
+        todo = stash(sides.groupBy("c").agg(F.min(F.struct("h", "a", "b")).alias("e")).select("e.a", "e.b").distinct() if turn < rounds else each.select("a", "b"), "tried")
         good = stash(verified(todo, texts, width, threshold), "verified")
         linked = good if linked is None else stash(linked.unionByName(good), "linked")
         classes = components(linked, "a", "b")
-        if turn == ROUNDS:
+        if turn == rounds:
             break
         left = each.select("a", "b", "h").join(todo, ["a", "b"], "left_anti")
         left = left.join(classes.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(classes.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
@@ -392,14 +406,17 @@ def near_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     trees, bits, level = shape(docs.count())
     marks = stash(sketches(docs, id_col, text_col, width, trees * bits // 64), "sketches")
+    common, marks = common_shingles(marks), marks.where("at is null").drop("at", "n")
     nodes = stash(marks.groupBy("lo", "hi").agg(F.min("id").cast("long").alias("rep"), F.first("sketch").alias("sketch")), "texts")
     some = stash(nodes.where("rep is not null and (lo != 0 or hi != 0)").select("rep", "sketch"), "reps")
     held = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     edges = stash(candidates(some, trees, bits, level, limit).select("a", "b", "h", F.col("a").alias("ca"), F.col("b").alias("cb")), "candidates")
     linked, classes = grown(None, edges, held, width, threshold)
-    own = held.join(some.select(F.col("rep").alias("id")), "id", "left_semi")
-    edges = stash(missing(own, classes, width, threshold, limit), "missing")
+    reps = some.select(F.col("rep").alias("id")).join(classes.select(F.col("node").alias("id"), "component"), "id", "left")
+    own = held.join(reps, "id").select("id", "text", F.coalesce("component", "id").alias("c"))
+    edges = stash(missing(own, common, width, threshold, limit), "missing")
     if not edges.isEmpty():
-        classes = grown(linked, edges, held, width, threshold)[1]
+        # few of these hold, so rounds would save little
+        classes = grown(linked, edges, held, width, threshold, rounds=0)[1]
     by_text = nodes.join(classes, nodes.rep == classes.node, "left").select("lo", "hi", F.coalesce("component", "rep").alias("component"))
     return marks.select("id", "lo", "hi").join(by_text, ["lo", "hi"]).select("id", "component")
