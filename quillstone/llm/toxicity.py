@@ -166,7 +166,7 @@ class Weights:
     def token(self, t: str) -> float:
         got = self.known.get(t)
         if got is None:
-            if len(self.known) > 500_000:
+            if len(self.known) > 300_000:
                 self.known.clear()
             get = self.weight.get
             got = self.known[t] = max((get(f, 0.0) for w in readings(t, self.model) for f in features(w)), default=0.0)
@@ -239,7 +239,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 for t in tokens(text):
                     got = kept.get(t)
                     if got is None:
-                        if len(kept) > 100_000:
+                        if len(kept) > 25_000:
                             kept.clear()
                         got = kept[t] = [f for w in readings(t, sent.value) for f in features(w)]
                     own.update(got)
@@ -249,7 +249,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(ys, pa.int32()), pa.array(folds, pa.int32())], names=["feature", "y", "fold"])
 
     each = sample.mapInArrow(count, "feature string, y int, fold int").groupBy("feature").agg(*(F.count_if((F.col("y") == y) & (F.col("fold") == k)).alias(f"n{y}{k}") for y in (0, 1) for k in (0, 1)))
-    rows = each.where((F.col("feature") == "") | ((F.col("n10") + F.col("n11") >= LEAST) & (F.col("n10") + F.col("n11") > F.col("n00") + F.col("n01")))).orderBy("feature").toArrow().to_pydict()
+    rows = each.where((F.col("feature") == "") | ((F.col("n10") + F.col("n11") >= LEAST) & (F.col("n10") + F.col("n11") > F.col("n00") + F.col("n01")))).toArrow().sort_by("feature").to_pydict()
     n = {k: np.array(rows[k], float) for k in ("n00", "n01", "n10", "n11")}
     if not rows["feature"] or rows["feature"][0] != "":
         return Scorer(Weights({}, model), np.zeros(4))
