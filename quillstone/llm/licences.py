@@ -25,6 +25,8 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillstone.llm.common import stash
+
 THRESHOLD = 0.8
 #: Notices by which works name their licence, and short licences.
 TEMPLATES = {
@@ -66,8 +68,9 @@ def templates(spark: SparkSession, texts: dict[str, str]) -> DataFrame:
     return spark.createDataFrame([(name, len(b), x) for name, t in texts.items() for b in [bigrams_of(t)] for x in b], "licence string, size int, bigram string")
 
 
-def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+def words(low: Column) -> Column:
+    """The words of a text in lower case."""
+    return F.regexp_extract_all(low, F.lit(WORD), F.lit(0))
 
 
 def bigrams(w: Column) -> Column:
@@ -116,30 +119,37 @@ def anchors(texts: dict[str, str], threshold: float) -> list[str]:
 
 
 def holds_any(text: Column, strings: list[str]) -> Column:
-    found = F.lit(False)
-    for x in strings:
-        found = found | F.contains(text, F.lit(x))
-    return found
+    """Whether the text holds one of the strings. The text is an element of an array here, so that it is made once and not for each string."""
+
+    def any_of(t: Column) -> Column:
+        found = F.lit(False)
+        for x in strings:
+            found = found | F.contains(t, F.lit(x))
+        return found
+
+    return F.exists(F.array(text), any_of)
 
 
 def windows(held: DataFrame, texts: dict[str, str], threshold: float) -> DataFrame:
-    """(row, line, last, licence, shared, size, template_size, dice) of the best windows of each text (row, text) that don't overlap.
+    """(row, line, last, licence, shared, size, template_size, dice) of the best windows of each text (row, low) that don't overlap.
 
-    ``line`` and ``last`` are the lines in which a window begins and ends.
+    ``line`` and ``last`` are the lines in which a window begins and ends. A text meets
+    only the templates of which it has as many bigrams as a match needs.
     """
     spark = held.sparkSession
     sets = [(name, b, len(re.findall(r"[0-9]+(?:\.[0-9]+)+|[^\W_]+", t.lower())) - 1) for name, t in texts.items() for b in [bigrams_of(t)] if " " in b[0]]
     if not sets:
         return spark.createDataFrame([], "row long, line int, last int, licence string, shared int, size int, template_size int, dice double")
-    known = spark.createDataFrame([(name, b, len(b), bounds(len(b), threshold)[0], bounds(n, threshold)[1]) for name, b, n in sets], "licence string, grams array<string>, template_size int, need int, span int")
+    known = F.array(*[F.struct(F.lit(name).alias("licence"), F.array(*map(F.lit, b)).alias("grams"), F.lit(len(b)).alias("template_size"), F.lit(bounds(len(b), threshold)[0]).alias("need"), F.lit(bounds(n, threshold)[1]).alias("span")) for name, b, n in sets])
     every = sorted({x for _, b, _ in sets for x in b})
-    w = F.flatten(F.transform(F.split(F.lower("text"), "\n"), lambda x, i: F.transform(words(x), lambda y: F.struct(y.alias("w"), (i + 1).alias("line")))))
+    w = F.flatten(F.transform(F.split("low", "\n"), lambda x, i: F.transform(words(x), lambda y: F.struct(y.alias("w"), (i + 1).alias("line")))))
     each = held.select("row", w.alias("w")).where(F.size("w") > 1)
     each = each.select("row", "w.line", F.zip_with(F.expr("slice(w, 1, size(w) - 1)"), F.expr("slice(w, 2, size(w) - 1)"), lambda a, b: F.concat_ws(" ", a["w"], b["w"])).alias("g"))
-    each = each.withColumn("hits", F.filter(F.transform("g", lambda x, i: F.when(x.isin(every), i + 1)), lambda x: x.isNotNull()))
+    each = each.withColumn("hits", F.filter(F.transform("g", lambda x, i: F.when(x.isin(every), F.struct((i + 1).alias("i"), x.alias("g")))), lambda x: x.isNotNull()))
     each = each.where(F.size("hits") >= min(bounds(len(b), threshold)[0] for _, b, _ in sets))
-    each = each.crossJoin(F.broadcast(known)).withColumn("hits", F.filter("hits", lambda i: F.array_contains(F.col("grams"), F.element_at("g", i))))
-    each = each.where(F.size("hits") >= F.col("need"))
+    of = lambda k: F.filter("hits", lambda x: F.array_contains(k["grams"], x["g"]))
+    each = each.withColumn("k", F.explode(F.filter(known, lambda k: F.size(of(k)) >= k["need"]))).select("row", "line", "g", "hits", "k.*")
+    each = each.withColumn("hits", F.transform(F.filter("hits", lambda x: F.array_contains(F.col("grams"), x["g"])), lambda x: x["i"]))
     each = each.select("*", F.explode("hits").alias("at")).withColumn("ends", F.expr("filter(hits, q -> q >= at and q < at + span)")).where(F.size("ends") >= F.col("need"))
     # only a window with the hits that a match needs is looked at
     each = each.withColumn("ends", F.expr("slice(ends, need, size(ends))"))
@@ -169,10 +179,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts:
     some = anchors(texts, threshold)
 
     held = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text is not null and text <> ''")
-    held = held.where(holds_any(F.lower("text"), some)).withColumn("row", F.monotonically_increasing_id())
-    lines = F.split("text", "\n")
-    units = held.select("row", "doc_id", F.posexplode(F.when(F.size(lines) > 1, F.concat(F.array("text"), lines)).otherwise(F.concat(F.array(F.lit("")), lines))).alias("line", "unit"))
-    units = units.where("unit <> ''").withColumn("unit", F.lower("unit")).where(holds_any(F.col("unit"), some))
+    # written, as the units and the windows both read what is left of the texts
+    held = stash(held.where(holds_any(F.lower("text"), some)).select(F.monotonically_increasing_id().alias("row"), "doc_id", F.lower("text").alias("low")), "licence-texts")
+    lines = F.split("low", "\n")
+    units = held.select("row", "doc_id", F.posexplode(F.when(F.size(lines) > 1, F.concat(F.array("low"), lines)).otherwise(F.concat(F.array(F.lit("")), lines))).alias("line", "unit"))
+    units = units.where("unit <> ''").where(holds_any(F.col("unit"), some))
     units = units.withColumn("w", words(F.col("unit"))).where(F.size("w") > 0)
     units = units.where(F.size(F.array_distinct("w")) <= 2 * high + 2)
     units = units.select("row", "doc_id", "line", bigrams(F.col("w")).alias("b")).withColumn("size", F.size("b")).where(F.col("size").between(low, high))
@@ -188,7 +199,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts:
     scored = shared.withColumn("dice", 2 * F.col("shared") / (F.col("size") + F.col("template_size"))).where(reaches(F.col("shared"), F.col("size"), F.col("template_size"), threshold))
     best = scored.groupBy("unit", "row", "doc_id", "line", "size").agg(F.min(F.struct((-F.col("dice")).alias("d"), "licence", "shared", "template_size")).alias("x"))
     best = best.select("row", "doc_id", F.col("line").cast("int").alias("line"), "x.licence", "x.shared", F.col("size").cast("int").alias("size"), F.col("x.template_size").cast("int").alias("template_size"), (-F.col("x.d")).alias("dice"))
-    more = windows(held.select("row", "text"), texts, threshold).join(held.select("row", "doc_id"), "row").alias("m")
+    best = stash(best, "licence-units")
+    more = windows(held.select("row", "low"), texts, threshold).join(held.select("row", "doc_id"), "row").alias("m")
     same = F.col("m.licence") == F.col("b.licence")
     found = same & ((F.col("b.line") == 0) | F.col("b.line").between(F.col("m.line"), F.col("m.last"))) | (F.col("b.line") == F.col("m.line")) & (F.col("m.line") == F.col("m.last"))
     more = more.join(best.alias("b"), (F.col("m.row") == F.col("b.row")) & found, "left_anti")
