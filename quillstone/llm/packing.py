@@ -59,9 +59,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         state = json.loads(self.tokenizer.to_str())
-        added = [t["content"] for t in state.get("added_tokens") or ()]
         # a text that holds a special token's string gets that token's id, as the tokenizer cuts the text there first
-        self.special = re.compile("|".join(map(re.escape, added))).search if added else lambda text: None
+        self.special = [t["content"] for t in state.get("added_tokens") or ()]
         before = state.get("pre_tokenizer") or {}
         self.by_parts = not state.get("normalizer") and before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
         self.find, self.letters = regex.compile(PRE_TOKEN).findall, _byte_letters()
@@ -103,7 +102,7 @@ class Encoder:
             for cache in (self.first, self.after, self.known):
                 cache.clear()
         for text in texts:
-            if self.special(text):
+            if any(x in text for x in self.special):
                 out.append(self.whole([text])[0])
                 continue
             if _wide.search(text):
