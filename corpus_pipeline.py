@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.llm import decontam, neartext, packing, toxicity
-from quillstone.llm.common import gapless, stash
+from quillstone.llm.common import gapless, parted, stash
 
 #: Scores from here on are rejected.
 TOXIC = 0.7
@@ -47,8 +47,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     if docs.where("doc_id is null").limit(1).count() or docs.groupBy("doc_id").count().where("count > 1").limit(1).count():
         key, row = unused(docs, "_key"), F.struct(*[docs[c] for c in docs.columns])
         docs = gapless(docs.select(row.alias("row"), docs["doc_id"].alias("id"), F.xxhash64(F.to_json(row)).alias("hash")), [], ["id", "hash"], "n", "keyed").select("row.*", F.col("n").alias(key))
-    kept = neartext.near_texts(docs, id_col=key).where("id = component").select("id")
-    return docs.join(kept, docs[key] == kept.id, "left_semi").select(*(c for c in docs.columns if c != key or key == "doc_id"))
+    gone = stash(neartext.near_texts(docs, id_col=key).where("not id <=> component").select(F.col("id").alias(key)), "gone")
+    stay, rest = parted(docs, gone, key)
+    return stay.unionByName(rest.join(gone, key, "left_anti").select(*docs.columns)).select(*(c for c in docs.columns if c != key or key == "doc_id"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 _own_scratch: dict[str, str] = {}
 #: Keys with more than this share of the rows, one in so many, are joined by a broadcast of at most so many rows.
 HOT_SHARE = 4096
+#: Bits of a map of keys.
+MARKS = 1 << 24
 
 
 def scratch(spark: SparkSession) -> str:
@@ -95,6 +97,22 @@ def join_hot(rows: DataFrame, groups: DataFrame, keys: list[str], weight: str, t
     return found.unionByName(rest)
 
 
+def parted(rows: DataFrame, ids: DataFrame, key: str, bits: int = MARKS) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose integer ``key`` is surely not one of ``ids`` (a column ``key``), or null, and the rest: all whose key is, and by chance others.
+
+    So an exact join has only the rest to shuffle. The ids are marked in a bitmap of
+    ``bits`` bits, of which words that have any are broadcast: bits / 64 rows at most,
+    whatever the number of ids. Columns of any name stay.
+    """
+    at = F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(bits))
+    word, mark = F.shiftright(at, 6).alias("_word"), F.expr("shiftleft(1L, _bit)")
+    words = stash(ids.select(word, at.bitwiseAND(63).cast("int").alias("_bit")).groupBy("_word").agg(F.bit_or(mark).alias("_marks")).coalesce(1), "marks")
+    laid = rows.select(F.struct(*(F.col(f"`{c}`") for c in rows.columns)).alias("_row"), F.col(key).isNull().alias("_null"), word, at.bitwiseAND(63).cast("int").alias("_bit"))
+    held = laid.join(F.broadcast(words), "_word", "left")
+    found = ~F.col("_null") & (F.coalesce("_marks", F.lit(0).cast("long")).bitwiseAND(mark) != 0)
+    return held.where(~found).select("_row.*"), held.where(found).select("_row.*")
+
+
 def in_cells(rows: DataFrame, sizes: DataFrame, key: str, spread: str, limit: int) -> DataFrame:
     """``rows`` with a column ``cell``, such that any two rows of a key share a cell and none has more than about ``limit`` rows.
 

@@ -20,8 +20,11 @@ classes that are cheap to find. A prefix filter then completes them: shingles ha
 fixed order, common ones last, and two texts at the threshold share one of the first
 n - ceil(threshold n) + 1 of their n shingles. Of two texts that do, the first shingles
 of the one whose first shingles end earlier are then all accounted for: what is shared
-among them is known, and only what stands behind them can still be shared. All pairs of
-texts of different classes for which that can add up to the threshold
+among them is known, and only what stands behind them can still be shared. A text's
+first shingles also carry the parities of all its shingles, dealt by their values to 128
+bits: one shingle that only one of two texts has changes one bit, so two texts have at
+least as many of these as their parities have differing bits, and a pair with too many is
+none. All pairs of texts of different classes for which that can add up to the threshold
 are verified. The result is that of all pairs, whatever the trees, sketches and bands.
 """
 
@@ -34,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import components, discard, in_cells, last_group, stash
+from quillstone.llm.common import components, discard, in_cells, last_group, parted, stash
 from quillstone.llm.decontam import THRESHOLD, WORDS, Hasher, shingles_of, signature_size, words_of
 
 #: Trees, bits of a block and bits of a level of a tree, by the number of distinct texts.
@@ -49,6 +52,8 @@ PAIRS = 1 << 17
 ROUNDS = 3
 #: Counters of shingles in a task; those over HEAVY times the mean and LEAST are sent, so at most COUNTERS / HEAVY of a task.
 COUNTERS, HEAVY, LEAST = 1 << 20, 8, 16
+#: Groups of shingles whose rows are counted before single shingles are.
+GROUPS = 1 << 14
 
 
 def sketch(values: np.ndarray, lanes: int) -> bytes:
@@ -276,19 +281,25 @@ def common_shingles(marks: DataFrame) -> np.ndarray:
     return count_of
 
 
+def parities(values: np.ndarray) -> np.ndarray:
+    """For each of 128 groups of distinct shingle values whether their number is odd, as two integers."""
+    group = (values * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(57)).astype(np.int64)
+    return np.packbits((np.bincount(group, minlength=128) & 1).astype(np.uint8)).view(np.int64)
+
+
 def prefixes(texts: DataFrame, common: np.ndarray, width: int, threshold: float) -> DataFrame:
-    """(shingle, c, id, n, end) : the first shingles of each text (id, text, c), rare ones first, of which a near duplicate holds one.
+    """(shingle, c, id, n, end, odd, odd2): the first shingles of each text (id, text, c), rare ones first, of which a near duplicate holds one.
 
     ``n`` is the number of all its shingles, ``end`` where the first ones end in the order
-    of all shingles: a count and the leading bits of a value.
+    of all shingles: a count and the leading bits of a value; ``odd`` and ``odd2`` are its parities.
     """
     sent = texts.sparkSession.sparkContext.broadcast(np.minimum(common, (1 << 20) - 1).astype(np.uint64) << np.uint64(43))
-    names = ["shingle", "c", "id", "n", "end"]
+    names = ["shingle", "c", "id", "n", "end", "odd", "odd2"]
 
     def run(batches):
         hasher = Hasher(width)
         for batch in batches:
-            held, rows, sizes, ends = [], [], [], []
+            held, rows, sizes, ends, odd = [], [], [], [], []
             for i, text in enumerate(batch.column(1)):
                 words = words_of(text.as_py())
                 if not words:
@@ -300,13 +311,15 @@ def prefixes(texts: DataFrame, common: np.ndarray, width: int, threshold: float)
                 rows.append(i)
                 sizes.append(len(values))
                 ends.append(place[first[-1]])
+                odd.append(parities(values))
             if held:
                 times = np.array([len(x) for x in held])
                 each = pa.array(np.repeat(rows, times))
                 last = np.repeat(np.array(ends, np.uint64), times).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(held).view(np.int64)), batch.column(2).take(each), batch.column(0).take(each), pa.array(np.repeat(np.array(sizes, np.int32), times)), pa.array(last)], names=names)
+                odd = np.repeat(np.array(odd), times, axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(held).view(np.int64)), batch.column(2).take(each), batch.column(0).take(each), pa.array(np.repeat(np.array(sizes, np.int32), times)), pa.array(last), pa.array(odd[:, 0].copy()), pa.array(odd[:, 1].copy())], names=names)
 
-    return texts.select("id", "text", "c").mapInArrow(run, "shingle long, c long, id long, n int, end long")
+    return texts.select("id", "text", "c").mapInArrow(run, "shingle long, c long, id long, n int, end long, odd long, odd2 long")
 
 
 def _across(shingle: np.ndarray, cell: np.ndarray, klass: np.ndarray):
@@ -332,19 +345,24 @@ def _across(shingle: np.ndarray, cell: np.ndarray, klass: np.ndarray):
         at = to
 
 
-def missing(texts: DataFrame, common: np.ndarray, width: int, threshold: float, limit: int = CELL) -> DataFrame:
-    """(a, b, h, ca, cb): all pairs of texts (id, text, c) of different classes c that the prefix filter can't rule out; the lower h, the more first shingles are shared."""
+def sharing(texts: DataFrame, common: np.ndarray, width: int, threshold: float, limit: int = CELL) -> DataFrame:
+    """(a, b, ca, cb, na, nb, rest) for each first shingle that two texts (id, text, c) of different classes c share, unless their sizes or parities rule the pair out."""
     rows = stash(prefixes(texts, common, width, threshold), "prefixes")
-    sizes = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    group = F.pmod("shingle", F.lit(GROUPS)).alias("g")
+    crowded = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select("g")
+    sizes = rows.select("shingle", group).join(F.broadcast(crowded), "g", "left_semi").groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
     rows = in_cells(rows, sizes, "shingle", "id", limit)
-    rows = rows.select("shingle", "cell", "c", "id", "n", "end").repartition("shingle", "cell").sortWithinPartitions("shingle", "cell", "c")
+    rows = rows.select("shingle", "cell", "c", "id", "n", "end", "odd", "odd2").repartition("shingle", "cell").sortWithinPartitions("shingle", "cell", "c")
     names = ["a", "b", "ca", "cb", "na", "nb", "rest"]
 
-    def search(shingle, cell, c, rep, n, end):
+    def search(shingle, cell, c, rep, n, end, odd, odd2):
         behind = (np.ceil(np.round(threshold * n, 9)) - 1).astype(np.int32)  # shingles that aren't among the first
         for i, j in _across(shingle, cell, c):
             near = (n[i] >= threshold * n[j] - 1e-9) & (n[j] >= threshold * n[i] - 1e-9)
             i, j = i[near], j[near]
+            differ = np.bitwise_count((odd[i] ^ odd[j]).view(np.uint64)).astype(np.int32) + np.bitwise_count((odd2[i] ^ odd2[j]).view(np.uint64))
+            near = differ <= (1 - threshold) / (1 + threshold) * (n[i] + n[j]) + 1e-6
+            i, j = i[near], j[near]
             i, j = np.where(rep[i] < rep[j], i, j), np.where(rep[i] < rep[j], j, i)
             if len(i):
                 # ends alike may be those of two shingles, of which either may come first
@@ -356,7 +374,7 @@ def missing(texts: DataFrame, common: np.ndarray, width: int, threshold: float,
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(6)]
+            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(8)]
             if rest is not None:
                 cols = [np.concatenate(x) for x in zip(rest, cols, strict=True)]
             last = last_group(cols[0], cols[1])
@@ -366,16 +384,20 @@ def missing(texts: DataFrame, common: np.ndarray, width: int, threshold: float,
         if rest is not None:
             yield from search(*rest)
 
-    found = rows.mapInArrow(run, "a long, b long, ca long, cb long, na int, nb int, rest int")
-    pairs = found.groupBy(*names).agg(F.count(F.lit(1)).cast("int").alias("shared"))
+    return rows.mapInArrow(run, "a long, b long, ca long, cb long, na int, nb int, rest int")
+
+
+def missing(texts: DataFrame, common: np.ndarray, width: int, threshold: float, limit: int = CELL) -> DataFrame:
+    """(a, b, h, ca, cb): all pairs of texts (id, text, c) of different classes c that the prefix filter can't rule out; the lower h, the more first shingles are shared."""
+    pairs = sharing(texts, common, width, threshold, limit).groupBy("a", "b", "ca", "cb", "na", "nb", "rest").agg(F.count(F.lit(1)).cast("int").alias("shared"))
     pairs = pairs.where(F.col("shared") + F.col("rest") >= threshold / (1 + threshold) * (F.col("na") + F.col("nb")) - 1e-6)
     return pairs.select("a", "b", (-F.col("shared")).alias("h"), "ca", "cb")
 
 
 def grown(linked: DataFrame | None, edges: DataFrame, docs: DataFrame, width: int, threshold: float, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """(links, classes) after all edges (a, b, h, ca, cb) between different classes have been verified, or joined by others."""
-    ends = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = stash(docs.join(ends, "id", "left_semi").dropDuplicates(["id", "text"]), "ends")
+    ends = stash(edges.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
+    texts = stash(parted(docs, ends, "id")[1].join(ends, "id", "left_semi").dropDuplicates(["id", "text"]), "ends")
     for turn in count():
         each = edges.select("ca", "cb", "h", "a", "b")
         sides = each.select(F.col("ca").alias("c"), "h", "a", "b").unionByName(each.select(F.col("cb").alias("c"), "h", "a", "b"))
@@ -413,7 +435,10 @@ def near_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     edges = stash(candidates(some, trees, bits, level, limit).select("a", "b", "h", F.col("a").alias("ca"), F.col("b").alias("cb")), "candidates")
     linked, classes = grown(None, edges, held, width, threshold)
     reps = some.select(F.col("rep").alias("id")).join(classes.select(F.col("node").alias("id"), "component"), "id", "left")
-    own = held.join(reps, "id").select("id", "text", F.coalesce("component", "id").alias("c"))
+    # most texts are their set's first row and in no link, so they need no join
+    others = marks.select(F.col("id").cast("long").alias("id")).where("id is not null").join(some.select(F.col("rep").alias("id")), "id", "left_anti")
+    alone, rest = parted(held, others.unionByName(classes.select(F.col("node").alias("id"))), "id")
+    own = alone.where("id is not null").select("id", "text", F.col("id").alias("c")).unionByName(rest.join(reps, "id").select("id", "text", F.coalesce("component", "id").alias("c")))
     edges = stash(missing(own, common, width, threshold, limit), "missing")
     if not edges.isEmpty():
         # few of these hold, so rounds would save little

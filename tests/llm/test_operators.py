@@ -10,6 +10,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from quillstone.llm import chat, common, decontam, htmltext, licences, media, neartext, packing, sharding, simhash, toxicity, warc
 
@@ -221,6 +222,45 @@ def test_each_shape_finds_the_pairs_that_meet(spark, trees, width, level):
     assert sizes == {r["shard"]: r["count"] for r in neartext.placed(nodes, trees, width, level).groupBy("shard").count().collect()}
 
 
+def test_pairs_that_parities_rule_out_are_not_made(spark):
+    """A group whose texts share three shingles in four: every two have first shingles in common, but none is a near duplicate."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for k in range(60):
+        words = list(base)
+        for i in rng.sample(range(150), 9):
+            words[i] = f"v{k}x{i}"
+        texts.append(" ".join(words))
+    near = [" ".join([*base[:149], f"end{k}"]) for k in range(4)]
+    own = spark.createDataFrame(list(enumerate([*texts, *near])), "id long, text string").withColumn("c", F.col("id"))
+    rows = neartext.sharing(own, np.zeros(neartext.COUNTERS, np.int64), 5, 0.8).collect()
+    sets = [decontam.shingles_of(decontam.words_of(t), 5) for t in (*texts, *near)]
+    alike = {(i, j) for j in range(64) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    assert alike >= {(i, j) for j in range(60, 64) for i in range(60, j)} and alike <= {(r.a, r.b) for r in rows}
+    assert len(rows) < 64 * 63 // 2
+
+
+def test_parities_never_differ_in_more_bits_than_shingles():
+    rng = np.random.default_rng(3)
+    for n in (1, 5, 100, 3000):
+        values = np.unique(rng.integers(0, 1 << 63, 2 * n, dtype=np.uint64))
+        for cut in {0, 1, n // 10, n}:
+            other = values[cut:]
+            assert np.bitwise_count((neartext.parities(values) ^ neartext.parities(other)).view(np.uint64)).sum() <= cut
+
+
+def test_parted_leaves_little_to_join(spark):
+    rows = spark.createDataFrame([(i if i % 7 else None, "x", i) for i in range(3000)], "id int, `a.b` string, _word long")
+    ids = spark.createDataFrame([(i,) for i in range(0, 6000, 50)], "id long")
+    for bits in (64, 1 << 24):
+        away, rest = common.parted(rows, ids, "id", bits)
+        assert away.columns == rest.columns == rows.columns
+        assert sorted(r["_word"] for r in away.unionByName(rest).collect()) == list(range(3000))
+        assert away.where("id is not null and id % 50 = 0").isEmpty() and rest.where("id is null").isEmpty()
+    assert rest.count() < 60
+
+
 def test_near_texts_edges(spark):
     assert neartext.near_texts(docs(spark, [])).collect() == []
     got = neartext.near_texts(docs(spark, ["a b c", "a b c", None, "", "z"], [5, None, 7, 7, None])).collect()
