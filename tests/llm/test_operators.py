@@ -411,6 +411,15 @@ def test_main_text():
     assert [htmltext.main_text(x) for x in (None, "", "<", "<p", "</", "<!--", "plain", "<article></article>")][:3] == ["", "", "<"] and htmltext.main_text("a < b & c") == "a < b & c"
 
 
+def test_bodies_select_the_lines_of_a_page_with_an_article(spark, monkeypatch):
+    page = "<p>before</p><article><h1>A</h1><p>b</p><div class=ad>buy</div><aside>x</aside><p>c</p></article><p>between</p><nav>n</nav><article><p>d</p></article><p>after</p>"
+    pages = [page, *(r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect() if r.html)]
+    want = [htmltext.main_text(p) for p in pages]
+    assert want[0] == "A\nb\nc\nd"
+    monkeypatch.setattr(htmltext, "bodies", lambda weight, *_, **__: [(0, len(weight))])
+    assert not [p for p, t in zip(pages, want, strict=True) if t and htmltext.main_text(p) == t]
+
+
 def test_main_text_between_bodies_of_a_page_without_an_article():
     long = ("long text " * 300).strip()
     talk = [f"Line {i}, she said." for i in range(8)]
