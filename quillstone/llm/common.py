@@ -16,6 +16,8 @@ _own_scratch: dict[str, str] = {}
 HOT_SHARE = 4096
 #: Bits of a map of keys.
 MARKS = 1 << 24
+#: Edges of a written part, about.
+EDGES = 1 << 15
 
 
 def scratch(spark: SparkSession) -> str:
@@ -141,7 +143,9 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """Connected components by alternating large-star and small-star rounds.
 
     Returns (node, component) for each node in an edge, component the smallest
-    node reachable. Each round is a written table; only counts reach the driver.
+    node reachable. Each round is a written table; only counts reach the driver. A
+    table has no more parts than EDGES edges each make, as every file costs the
+    executors' processes, on a local file system one to set its permissions.
     """
 
     def digest(e: DataFrame) -> tuple:
@@ -152,15 +156,16 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     now = stash(now, "edges")
     seen = digest(now)
     while seen[0]:
+        parts = -(-seen[0] // EDGES)
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         star = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # what a large star leaves at its own centre: (u, m) for u itself
         star = star.unionByName(low.where("m < u").select("u", F.col("m").alias("v"))).distinct()
-        star = stash(star, "large-star")
+        star = stash(star.coalesce(parts), "large-star")
         low = star.groupBy("u").agg(F.min("v").alias("m"))
         nxt = star.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").unionByName(low.select("u", F.col("m").alias("v"))).distinct()
-        nxt = stash(nxt, "small-star")
+        nxt = stash(nxt.coalesce(parts), "small-star")
         then = digest(nxt)
         discard(now, star)
         now, done, seen = nxt, then == seen, then

@@ -261,6 +261,21 @@ def test_parted_leaves_little_to_join(spark):
     assert rest.count() < 60
 
 
+def test_components_write_few_files(spark, monkeypatch):
+    written, kept = [], common.stash
+    monkeypatch.setattr(common, "stash", lambda df, name, **o: [out := kept(df, name, **o), written.append((name, len(out.inputFiles())))][0])
+    was = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        edges = spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long")
+        assert {r.component for r in common.components(edges, "a", "b").collect()} == {0}
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert {n for name, n in written if name.endswith("-star")} == {1}
+
+
 def test_near_texts_edges(spark):
     assert neartext.near_texts(docs(spark, [])).collect() == []
     got = neartext.near_texts(docs(spark, ["a b c", "a b c", None, "", "z"], [5, None, 7, 7, None])).collect()
